@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("bpe", "secret_scan", "mixing")
+MODULES = ("toxicity", "bpe", "media", "secret_scan", "fingerprints", "mixing")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
