@@ -24,8 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents, slices
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CACHED_PIECES = 200_000
+CACHED_PIECES = 500_000
 CACHED_STATES = 100_000
+CACHED_PAIRS = 400_000
+NEVER = 1 << 60
 DECODE_IDS = 1 << 16
 
 
@@ -60,45 +62,61 @@ class Transducer:
         self.number = {start: 0}
         self.arcs: dict[int, tuple[int, tuple[int, ...]]] = {}  # state << 8 | byte -> state, tokens emitted
 
-    def merge(self, piece: bytes) -> list[bytes]:
-        """Merging by rank, as the vocabulary defines it; used on pairs of tokens only."""
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-            if rank == 1 << 60:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
     def survives(self, left: int, right: int) -> bool:
+        """Whether merging the bytes of two tokens by rank gives these two tokens."""
         known = self.pairs.get((left, right))
         if known is None:
-            a, b = self.bytes_of[left], self.bytes_of[right]
-            if len(self.pairs) >= 4 * CACHED_STATES:
+            if len(self.pairs) >= CACHED_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self.merge(a + b) == [a, b]
+            a = self.bytes_of[left]
+            known = self.pairs[left, right] = self.merge(a + self.bytes_of[right], len(a))
         return known
 
+    def merge(self, piece: bytes, border: int) -> bool:
+        """Merge the pair of least rank, leftmost first, until no pair has one: is border the one cut left?"""
+        rank = self.ranks.get
+        cuts = list(range(len(piece) + 1))
+        ranks = [rank(piece[i : i + 2], NEVER) for i in range(len(piece) - 1)]
+        while ranks:
+            least = min(ranks)
+            if least == NEVER:
+                break
+            i = ranks.index(least)
+            if cuts[i + 1] == border:
+                return False
+            del cuts[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank(piece[cuts[i] : cuts[i + 2]], NEVER)
+            if i:
+                ranks[i - 1] = rank(piece[cuts[i - 1] : cuts[i + 1]], NEVER)
+        return len(cuts) == 3
+
     def _arc(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+        """Configurations stand in the order of the places where their unfinished tokens begin."""
         last, configurations = self.states[state]
-        after = []
+        after, whole = [], None
         for pending, node in configurations:
-            node = self.next.get(node << 8 | byte, -1)
-            if node < 0:
+            node = self.next.get(node << 8 | byte)
+            if node is None:
                 continue
             after.append((pending, node))
             token = self.token[node]
-            if token >= 0:
+            if whole is None and token >= 0:
                 before = pending[-1] if pending else last
                 if before < 0 or self.survives(before, token):
-                    after.append(((*pending, token), 0))
-        agreed = 0
-        shortest = min(len(p) for p, _ in after)
+                    whole = (*pending, token)
+        after.append((whole, 0))
+        out: tuple[int, ...] = ()
         first = after[0][0]
-        while agreed < shortest and all(p[agreed] == first[agreed] for p, _ in after):
-            agreed += 1
-        out = first[:agreed]
-        new = (out[-1] if out else last, tuple(sorted((p[agreed:], n) for p, n in after)))
+        if first:
+            agreed = 0
+            shortest = min(len(p) for p, _ in after)
+            while agreed < shortest and all(p[agreed] == first[agreed] for p, _ in after):
+                agreed += 1
+            if agreed:
+                out, last = first[:agreed], first[agreed - 1]
+                after = [(p[agreed:], n) for p, n in after]
+        new = (last if any(not p for p, _ in after) else -1, tuple(after))
         at = self.number.get(new)
         if at is None:
             at = self.number[new] = len(self.states)
@@ -116,7 +134,7 @@ class Transducer:
             if arc[1]:
                 ids += arc[1]
         if piece:
-            ids += next(pending for pending, node in self.states[state][1] if not node)
+            ids += self.states[state][1][-1][0]
         return ids
 
 
