@@ -14,6 +14,7 @@ are not held out; repeated rows each get their row; other columns are never read
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -21,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, slices
+from .common import documents, materialise, slices, utf8
+from .text_arrays import U, Words, windows
 
 #: Labelled rows that the model is fitted on, by order of a hash of their id; everything else covers all rows.
 MAX_LABELLED = 20_000
@@ -29,6 +31,8 @@ MAX_TERMS = 4_096
 CHI_SQUARED = 40.0
 #: Least share of the learned rows, and least number of them, that a term stands in.
 LEAST_SHARE, LEAST_ROWS = 0.001, 3
+#: Words of the shingle whose least hash tells copies.
+GRAM = 5
 NEIGHBOURS = 25
 BLOCK = 64
 PREDICT_AT = 0.3
@@ -136,6 +140,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     chosen = chosen.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(MAX_LABELLED)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")  # at most MAX_LABELLED rows
 
+    def sign(batches):
+        for batch in slices(batches):
+            words = Words(*utf8(batch.column(1)), lower=True)
+            grams = windows(words.hashes, GRAM)
+            signs = [int(grams[a : b - GRAM + 1].min() >> U(1)) if b - a >= GRAM else zlib.crc32(words.hashes[a:b].tobytes()) for a, b in zip(words.first, words.first[1:])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(signs, pa.int64())], ["doc_id", "text", "toxic", "sign"])
+
+    # copies, even near ones, would make their rare words look like signs of a label: one of each group is learned from
+    rows = materialise(rows.mapInArrow(sign, "doc_id long, text string, toxic int, sign long").groupBy("sign").agg(F.min(F.struct("doc_id", "text", "toxic")).alias("r")).select("r.*"))
+
     def count(batches):
         for batch in slices(batches):
             seen: tuple[Counter, Counter] = (Counter(), Counter())
@@ -152,7 +166,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     chi = F.lit(float(n0 + n1)) * F.pow(a * d - b * c, F.lit(2.0)) / (F.lit(float(n0) * n1) * (a + b) * F.greatest(c + d, F.lit(1.0)))
     counted = rows.mapInArrow(count, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     common = F.col("clean") + F.col("toxic") >= max(LEAST_ROWS, LEAST_SHARE * (n0 + n1))
-    terms = counted.filter(common).withColumn("chi", chi).filter(F.col("chi") >= CHI_SQUARED).orderBy(F.desc("chi"), "term").limit(MAX_TERMS).select("term", "clean", "toxic").collect()
+    rather = F.col("toxic") * n0 > F.col("clean") * n1  # in toxic rows more than in clean ones
+    terms = counted.filter(common & rather).withColumn("chi", chi).filter(F.col("chi") >= CHI_SQUARED).orderBy(F.desc("chi"), "term").limit(MAX_TERMS).select("term", "clean", "toxic").collect()
     names = [t.term for t in terms]
     place = {t: i for i, t in enumerate(names)}
 
