@@ -222,6 +222,17 @@ def encode_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def encode_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """docs (doc_id, source, text) -> doc_id, source, n_tokens, ids (little-endian unsigned 32-bit integers)."""
+
+    def run(batches):
+        for batch in slices(batches):
+            ids = list(encode_texts(batch.column(2).to_pylist(), path, pattern))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "source", "n_tokens", "ids"])
+
+    return docs.select("doc_id", "source", "text").mapInArrow(run, "doc_id long, source string, n_tokens long, ids binary")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(documents(spark, sf_dir, "doc_id", "text"), *default_vocabulary())
 

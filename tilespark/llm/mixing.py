@@ -21,6 +21,7 @@ LEVEL_BITS = 12
 HASH_BITS = 60
 WEIGHT_CYCLE = 3
 MAX_REPEAT = 3
+MAX_BROADCAST_SOURCES = 50_000
 
 
 def hash60(column: str) -> Column:
@@ -32,18 +33,19 @@ def targets(sources: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """Water-filling over one row a source (source, source_size, weight): adds target.
 
     A source's target is min(max_repeat * source_size, level * weight) with one level for all, chosen so that the
-    targets sum to all sizes. Ordered by the level at which each source fills up, the first source that its own
-    tentative level doesn't fill gives the level.
+    targets sum to all sizes. With the sources in the order of the level at which each fills up, the tentative level of
+    a source is what is left for it and those after it once those before it are full. It is the mean of its own filling
+    level and the next tentative one, so it rises until a source isn't filled, and falls from there: the level sought is
+    the largest.
     """
     order = Window.orderBy("_fills", F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()
     rest = F.sum("source_size").over(every) - max_repeat * F.coalesce(F.sum("source_size").over(order), F.lit(0))
     weight = F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(order), F.lit(0))
-    level = F.min(F.when(F.col("_level") <= F.col("_fills"), F.col("_level"))).over(every)
     return (
         sources.withColumn("_fills", F.lit(float(max_repeat)) * F.col("source_size") / F.col("weight"))
         .withColumn("_level", rest.cast("double") / weight)
-        .withColumn("_level", F.coalesce(level, F.max("_fills").over(every)))
+        .withColumn("_level", F.max("_level").over(every))
         .withColumn("target", F.least(F.lit(float(max_repeat)) * F.col("source_size"), F.col("_level") * F.col("weight")))
         .drop("_fills", "_level")
     )
@@ -61,8 +63,9 @@ def _boundary(sums: DataFrame, budgets: DataFrame) -> DataFrame:
     )
 
 
-def mix(rows: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
-    """rows (doc_id, source, size): adds source_size, target and taken."""
+def thresholds(rows: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
+    """rows (doc_id, source, size) -> a row a source: _source, source_size, target, whole (copies of every row), cut (the
+    largest hash of which one copy more is taken)."""
     rows = rows.select("doc_id", "source", F.col("size").cast("long").alias("size"), hash60("doc_id").alias("h"))
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("weight", (rank - 1) % WEIGHT_CYCLE + 1)
@@ -93,10 +96,16 @@ def mix(rows: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
         )
         .select("_source", F.when(F.col("_high._run") - F.col("budget") < F.col("budget") - F.col("_under"), F.col("_high.bucket")).otherwise(F.col("_low")).alias("cut"))
     )
-    plan = plan.join(cuts, plan["source"].eqNullSafe(cuts["_source"]), "left").select(F.col("source").alias("_source"), "source_size", "target", "whole", F.coalesce("cut", F.lit(-1)).alias("cut"))
-    return rows.join(plan, rows["source"].eqNullSafe(plan["_source"])).select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("size") * (F.col("whole") + (F.col("h") <= F.col("cut")).cast("long"))).alias("taken")
-    )
+    plan = plan.join(cuts, plan["source"].eqNullSafe(cuts["_source"]), "left")
+    return materialise(plan.select(F.col("source").alias("_source"), "source_size", "target", "whole", F.coalesce("cut", F.lit(-1)).alias("cut")))
+
+
+def with_copies(docs: DataFrame, plan: DataFrame) -> DataFrame:
+    """docs with doc_id and source: adds copies, source_size and target. Up to MAX_BROADCAST_SOURCES rows are sent to
+    the docs, which then aren't dealt by source; more are joined by shuffle."""
+    few = plan.count() <= MAX_BROADCAST_SOURCES
+    joined = docs.join(F.broadcast(plan) if few else plan, docs["source"].eqNullSafe(plan["_source"]))
+    return joined.withColumn("copies", F.col("whole") + (hash60("doc_id") <= F.col("cut")).cast("long")).drop("_source", "whole", "cut")
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -104,8 +113,8 @@ def sizes(docs: DataFrame) -> DataFrame:
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix(materialise(sizes(documents(spark, sf_dir, "doc_id", "source", "text"))))
-    return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+    rows = materialise(sizes(documents(spark, sf_dir, "doc_id", "source", "text")))
+    return with_copies(rows, thresholds(rows)).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("size") * F.col("copies")).alias("taken"))
 
 
 SQL = {
@@ -122,7 +131,7 @@ l AS (
   SELECT *, (sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER w, 0))::DOUBLE / (sum(weight) OVER () - coalesce(sum(weight) OVER w, 0)) AS lev
   FROM f WINDOW w AS (ORDER BY fills, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (
-  SELECT source, source_size, least(3.0::DOUBLE * source_size, coalesce(min(CASE WHEN lev <= fills THEN lev END) OVER (), max(fills) OVER ()) * weight) AS target FROM l),
+  SELECT source, source_size, least(3.0::DOUBLE * source_size, max(lev) OVER () * weight) AS target FROM l),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t),
 b AS (SELECT *, target - whole * source_size AS budget FROM p),
 r AS (SELECT d.source, d.h, sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h)::BIGINT AS run FROM d),

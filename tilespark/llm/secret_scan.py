@@ -103,6 +103,34 @@ def findings_by_path(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     return paths.join(scanned.select("blob", "findings"), "blob", "left")
 
 
+def redact_text(text: str, spans: list[tuple[int, int]], mask: str = "<SECRET>") -> str:
+    """Each stretch that spans cover, overlapping ones as one, becomes the mask."""
+    out, at, reach = [], 0, -1
+    for start, end in sorted(spans):
+        if start > reach:
+            out += [text[at:start], mask]
+        at = reach = max(reach, end)
+    return "".join([*out, text[at:]])
+
+
+def redact(docs: DataFrame) -> DataFrame:
+    """docs with the columns of documents: secrets masked in text, n_chars brought up to date; all rows stay."""
+    found = scan(docs).filter(F.size("findings") > 0).select(F.col("blob").alias("_blob"), "findings")
+    named = docs.withColumn("_own", sha_hex())
+    joined = named.join(found, F.col("_own") == F.col("_blob"), "left").select(*docs.columns, "findings")
+    names = docs.columns
+    at = names.index("text")
+
+    def run(batches):
+        for batch in slices(batches):
+            texts, findings = batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()
+            masked = [t if not f else redact_text(t, [(x["start"], x["end"]) for x in f]) for t, f in zip(texts, findings)]
+            yield pa.RecordBatch.from_arrays([pa.array(masked, pa.string()) if i == at else batch.column(i) for i in range(len(names))], names)
+
+    out = joined.mapInArrow(run, docs.schema)
+    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
 def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     found = F.coalesce("findings", F.array().cast("array<struct<kind:string,start:long,end:long>>"))

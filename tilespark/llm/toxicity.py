@@ -205,6 +205,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, predicted int, evidence array<struct<doc_id:long,cosine:double,label:int>>")
 
 
+def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
+    """docs with a text column, without the rows that are predicted toxic."""
+    shipped = docs.sparkSession.sparkContext.broadcast(model)  # as in score()
+    at = docs.columns.index("text")
+
+    def run(batches):
+        m = shipped.value
+        for batch in slices(batches):
+            yield batch.filter(pa.array([m.score(m.counts(tokens(t)))[0] < PREDICT_AT for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
