@@ -15,6 +15,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import importlib
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,8 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents, slices
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CACHED_PIECES = 500_000
-CACHED_STATES = 100_000
+CACHED_PIECES = 300_000
+CACHED_STATES = 150_000
 CACHED_PAIRS = 400_000
 NEVER = 1 << 60
 DECODE_IDS = 1 << 16
@@ -53,7 +55,10 @@ class Transducer:
                     self.token.append(-1)
                 node = self.next[key]
             self.token[node] = rank
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
+        self.single = [ranks[bytes([x])] for x in range(256)]
+        #: two tokens' ids -> that of their bytes together
+        self.merged = {ranks[t[:i]] << 32 | ranks[t[i:]]: rank for t, rank in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
         self._reset()
 
     def _reset(self) -> None:
@@ -64,39 +69,43 @@ class Transducer:
 
     def survives(self, left: int, right: int) -> bool:
         """Whether merging the bytes of two tokens by rank gives these two tokens."""
-        known = self.pairs.get((left, right))
+        key = left << 32 | right
+        known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= CACHED_PAIRS:
                 self.pairs.clear()
-            a = self.bytes_of[left]
-            known = self.pairs[left, right] = self.merge(a + self.bytes_of[right], len(a))
+            a, b = self.bytes_of[left], self.bytes_of[right]
+            known = self.pairs[key] = a + b not in self.ranks and self._apart(a, b)
         return known
 
-    def merge(self, piece: bytes, border: int) -> bool:
-        """Merge the pair of least rank, leftmost first, until no pair has one: is border the one cut left?"""
-        rank = self.ranks.get
-        cuts = list(range(len(piece) + 1))
-        ranks = [rank(piece[i : i + 2], NEVER) for i in range(len(piece) - 1)]
-        while ranks:
+    def _apart(self, a: bytes, b: bytes) -> bool:
+        """Merge the pair of least rank, leftmost first: do both sides become whole before a pair across them merges?"""
+        merged = self.merged.get
+        single = self.single
+        parts = [single[x] for x in a + b]
+        border = len(a)  # parts on the left
+        ranks = [merged(x << 32 | y, NEVER) for x, y in zip(parts, parts[1:])]
+        while len(parts) > 2:
             least = min(ranks)
-            if least == NEVER:
-                break
             i = ranks.index(least)
-            if cuts[i + 1] == border:
+            if i == border - 1:
                 return False
-            del cuts[i + 1], ranks[i]
+            parts[i] = least  # a token's id is its rank
+            del parts[i + 1], ranks[i]
+            if i < border:
+                border -= 1
             if i < len(ranks):
-                ranks[i] = rank(piece[cuts[i] : cuts[i + 2]], NEVER)
+                ranks[i] = merged(least << 32 | parts[i + 1], NEVER)
             if i:
-                ranks[i - 1] = rank(piece[cuts[i - 1] : cuts[i + 1]], NEVER)
-        return len(cuts) == 3
+                ranks[i - 1] = merged(parts[i - 1] << 32 | least, NEVER)
+        return True
 
     def _arc(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """Configurations stand in the order of the places where their unfinished tokens begin."""
         last, configurations = self.states[state]
-        after, whole = [], None
+        after, whole, follow = [], None, self.next.get
         for pending, node in configurations:
-            node = self.next.get(node << 8 | byte)
+            node = follow(node << 8 | byte)
             if node is None:
                 continue
             after.append((pending, node))
@@ -108,15 +117,15 @@ class Transducer:
         after.append((whole, 0))
         out: tuple[int, ...] = ()
         first = after[0][0]
-        if first:
+        if first:  # nothing begins any more where the emitted tokens end, so some token may be agreed on
             agreed = 0
-            shortest = min(len(p) for p, _ in after)
-            while agreed < shortest and all(p[agreed] == first[agreed] for p, _ in after):
+            shortest = min([len(p) for p, _ in after])
+            while agreed < shortest and all([p[agreed] == first[agreed] for p, _ in after]):
                 agreed += 1
             if agreed:
                 out, last = first[:agreed], first[agreed - 1]
                 after = [(p[agreed:], n) for p, n in after]
-        new = (last if any(not p for p, _ in after) else -1, tuple(after))
+        new = (-1 if after[0][0] else last, tuple(after))
         at = self.number.get(new)
         if at is None:
             at = self.number[new] = len(self.states)
@@ -138,18 +147,33 @@ class Transducer:
         return ids
 
 
+def _little(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class Pieces(dict):
-    """Piece of text -> its ids as little-endian 32-bit bytes, filled on demand and emptied when full."""
+    """Piece of text -> its ids as little-endian 32-bit bytes, filled on demand.
+
+    When full, it becomes the old generation, from which pieces met again come back; the rest goes with the next one.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.transducer = Transducer(ranks)
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
+        out = self.old.get(piece)
+        if out is None:
+            out = _little(self.transducer.encode(piece.encode()))
+            if len(piece) > 64:
+                return out
         if len(self) >= CACHED_PIECES:
+            self.old = dict(self)
             self.clear()
-        out = np.array(self.transducer.encode(piece.encode()), "<u4").tobytes()
-        if len(piece) <= 64:
-            self[piece] = out
+        self[piece] = out
         return out
 
 
