@@ -68,16 +68,21 @@ class BlockMaxIndex:
         query = [(t, w / norm) for t, w in vector.items()]
         bounds = sum(w * self.most[t] for t, w in query)
         best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < best[-1][0] - 1e-9:
+        for b in np.argsort(-bounds, kind="stable").tolist():
+            least = best[-1][0] if len(best) == k else 0.0
+            if bounds[b] <= 0 or bounds[b] < least - 1e-9:
                 break
+            base = b * self.block
+            if bounds[b] <= least and base > best[-1][1]:
+                continue  # it could only tie, and comes later
             scores = np.zeros(self.block)
             for t, w in query:
                 found = self.postings.get((t, b))
                 if found:
                     scores[found[0]] += w * found[1]
-            base = int(b) * self.block
-            best += [(round(float(scores[i]), 12), base + int(i)) for i in np.flatnonzero(scores) if base + i != without]
+            scores = np.round(scores, 12)
+            better = np.flatnonzero((scores >= least) & (scores > 0))
+            best += [(s, base + i) for s, i in zip(scores[better].tolist(), better.tolist()) if base + i != without]
             best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
         return best
 
