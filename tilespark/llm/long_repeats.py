@@ -104,10 +104,11 @@ def anchors(unit: Unit, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarr
 
 
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
-    return ((keys >> U(32)) * U(parts) >> U(32)).astype(np.int32)
+    """Keys are often the least of many, and so are mixed before they are dealt."""
+    return ((mix(keys) >> U(32)) * U(parts) >> U(32)).astype(np.int32)
 
 
-def _cells(part: np.ndarray, order_key: np.ndarray, make: Callable[[np.ndarray], bytes]) -> tuple[list[int], list[bytes]]:
+def cells_of(part: np.ndarray, order_key: np.ndarray, make: Callable[[np.ndarray], bytes]) -> tuple[list[int], list[bytes]]:
     """Deal rows into cells, sorted by key within each."""
     order = np.lexsort((order_key, part))
     cut = bounds(part[order])
@@ -145,7 +146,7 @@ def _emit_anchors(unit: Unit, parts: int):
                 fresh[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
             group = bounds((key ^ mix(bucket.astype(np.uint64) + U(1))))
             key, bucket, times = key[group[:-1]], bucket[group[:-1]], np.minimum(np.add.reduceat(fresh, group[:-1]), 65_535).astype(np.uint16)
-            names, cells = _cells(part_of(key, parts), key, lambda i: pack(rising(key[i]), bucket[i], times[i]))
+            names, cells = cells_of(part_of(key, parts), key, lambda i: pack(rising(key[i]), bucket[i], times[i]))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(cells, pa.binary())], ["part", "cell"])
 
     return run
@@ -160,7 +161,7 @@ def _repeated(table: pa.Table) -> pa.Table:
     total = np.repeat(np.add.reduceat(times.astype(np.int64), cut[:-1]), np.diff(cut))
     keep = total > 1
     keys, buckets, hot = keys[keep], buckets[keep], (total[keep] > HOT)
-    names, cells = _cells(buckets, keys, lambda i: pack(rising(keys[i]), hot[i].astype(np.uint8)))
+    names, cells = cells_of(buckets, keys, lambda i: pack(rising(keys[i]), hot[i].astype(np.uint8)))
     return pa.table({"bucket": pa.array(names, pa.int32()), "told": pa.array(cells, pa.binary())})
 
 
@@ -230,7 +231,7 @@ def _emit_snippets(unit: Unit, parts: int):
                     names, which = np.unique(ids[i], return_inverse=True)
                     return pack(np.array([bucket], np.int64), rising(key[i]), rising(names), which.astype(np.uint32), start[i].astype(np.int32), span[i].astype(np.uint16), often[i].astype(np.uint8), np.concatenate(body))
 
-                names, cells = _cells(part, key[held], ship)
+                names, cells = cells_of(part, key[held], ship)
                 out[0].extend(names), out[1].extend([0] * len(names)), out[2].extend(cells)
             warm = [(g, np.flatnonzero(g[4])) for g in gathered if g[4].any()]
             if warm:
@@ -245,7 +246,7 @@ def _emit_snippets(unit: Unit, parts: int):
                     names, which = np.unique(ids[i], return_inverse=True)
                     return pack(np.array([bucket], np.int64), rising(value[i]), rising(names), which.astype(np.uint32), start[i].astype(np.int32))
 
-                names, cells = _cells(part_of(value, parts), value, deal)
+                names, cells = cells_of(part_of(value, parts), value, deal)
                 out[0].extend(names), out[1].extend([1] * len(names)), out[2].extend(cells)
             if any(len(s[0]) for s in settled):
                 out[0].append(bucket % parts), out[1].append(2)
@@ -327,7 +328,7 @@ def _settle(unit: Unit):
         if not told:
             return pa.table({"bucket": pa.array([], pa.int32()), "repeats": pa.array([], pa.binary())})
         bucket, ids, start, end = (np.concatenate(x) for x in zip(*told))
-        names, out = _cells(bucket, ids, lambda i: pack(*_joined(ids[i], start[i], end[i])))
+        names, out = cells_of(bucket, ids, lambda i: pack(*_joined(ids[i], start[i], end[i])))
         return pa.table({"bucket": pa.array(names, pa.int32()), "repeats": pa.array(out, pa.binary())})
 
     return run
