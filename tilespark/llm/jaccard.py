@@ -7,13 +7,17 @@ sets just above the boundary list both. The boundary is where subsets become dea
 measured. The order puts shingles of many classes last: they are counted first, and a list is long only where classes
 consist of common shingles.
 
+With one shingle more in the prefix, a pair shares one list more. Larger sets list a tenth of their size more, and a
+class with fewer shared lists than that has no partner: those that share a passage only are done with.
+
 A list isn't expanded into pairs. Each class is compared with the least class of the list that it shares most lists
 with, exactly, which joins groups of near copies into components. Then only the pairs of a list that lie in different
-components are left; all of them are compared, so no link between components is lost.
+components are left; all of them that share lists enough are compared, so no link between components is lost.
 
 Defined cases: null text, and text without words, has an empty set and no links; under five words, the whole sequence is
 the one shingle; rows of equal sets are one component whatever their number; a null id is no component's least id unless
-all are null; an empty table gives an empty result; other columns are ignored. Shingles are 64-bit hashes.
+all are null; an empty table gives an empty result; other columns are ignored. Shingles are 64-bit
+hashes, of which lists and comparisons use 48 bits.
 """
 
 from __future__ import annotations
@@ -27,20 +31,23 @@ from pyspark.sql import functions as F
 
 from .common import documents, materialise, shuffle_width, slices, utf8
 from .components import components
-from .long_repeats import part_of
+from .long_repeats import cells_of, part_of
 from .packed import bounds, pack, rising, risen, unpack
 from .text_arrays import U, Words, mix, powers, windows
 
 GRAM = 5
 #: Jaccard of at least 80 / 100.
 SHARE, WHOLE = 80, 100
-COUNTED = 0.4
+COUNTED = 0.45
 #: Common shingles are told to every worker, at most so many.
 MAX_COMMON = 1 << 21
 LEAST_COMMON = 32
 PART_ENTRIES = 1 << 20
 MAX_BROADCAST_PAIRS = 50_000
 _KEY_BITS = U(16)  # keys are the upper 48 bits: a clash only adds a candidate
+_COUNT_BITS = U(24)  # and are counted by their upper 40: a clash only moves both in the order
+#: From this size on, sets list their shingles one by one.
+MAX_SMALL = 10
 
 
 def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -98,10 +105,9 @@ def _count_cells(parts: int):
             keys = [s[: math.ceil(COUNTED * len(s))] for _, s in _distinct_sets(batch)]
             if not keys:
                 continue
-            keys = np.sort(np.concatenate(keys) >> _KEY_BITS)
-            at = bounds(part_of(keys << _KEY_BITS, parts))
-            names = part_of(keys[at[:-1]] << _KEY_BITS, parts)
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array([pack(rising(keys[a:b])) for a, b in zip(at, at[1:])], pa.binary())], ["part", "cell"])
+            keys = np.concatenate(keys) >> _COUNT_BITS
+            names, cells = cells_of(part_of(keys, parts), keys, lambda i: pack(rising(keys[i])))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(cells, pa.binary())], ["part", "cell"])
 
     return run
 
@@ -127,21 +133,27 @@ def prefix_size(n: int, shared: int = 1) -> int:
 def boundary(mean_list: float) -> int:
     """The least size from which listing pairs of the prefix costs more than scanning the lists of its shingles."""
     n = 2
-    while math.comb(prefix_size(n, 2), 2) <= prefix_size(n) * mean_list and n < 50:
+    while math.comb(prefix_size(n, 2), 2) <= prefix_size(n) * mean_list and n < MAX_SMALL:
         n += 1
     return n
 
 
+def shared_lists(n: int | np.ndarray) -> int | np.ndarray:
+    """How many lists a set of n shares with a partner of its size or more, at least."""
+    return 1 + n // MAX_SMALL
+
+
 def keys_of(shingles: np.ndarray, common: np.ndarray, times: np.ndarray, small: int) -> np.ndarray:
     """The keys that a set is listed under. common, times: the common shingles' keys, sorted, and their counts."""
     n = len(shingles)
     if n < 2:
         return shingles[:0]  # only an equal set is near enough, and that is the same class
     key = shingles >> _KEY_BITS
-    want = prefix_size(n, 2)
+    want = prefix_size(n, max(2, shared_lists(n)))
     if len(common):
-        place = np.minimum(np.searchsorted(common, key), len(common) - 1)
-        heavy = common[place] == key
+        counted = shingles >> _COUNT_BITS
+        place = np.minimum(np.searchsorted(common, counted), len(common) - 1)
+        heavy = common[place] == counted
         light = key[~heavy][:want]
         if len(light) < want:
             rest = np.flatnonzero(heavy)
@@ -149,8 +161,9 @@ def keys_of(shingles: np.ndarray, common: np.ndarray, times: np.ndarray, small:
             light = np.concatenate([light, key[rest][order][: want - len(light)]])
         key = light
     key = key[:want]
-    singles, pairs = key[: prefix_size(n)], key[:0]
+    singles, pairs = key[: prefix_size(n, shared_lists(n))], key[:0]
     if n * SHARE < small * WHOLE:  # small, or near enough to a small set
+        key = key[: prefix_size(n, 2)]
         i, j = np.triu_indices(len(key), 1)
         low, high = np.minimum(key[i], key[j]), np.maximum(key[i], key[j])
         pairs = mix(low * U(0x9E3779B97F4A7C15) + high) >> _KEY_BITS
@@ -170,15 +183,13 @@ def _list_cells(parts: int, shipped, small: int):
                 continue
             which = np.repeat(np.arange(len(sets)), [len(k) for k in listed])
             names, size = np.array([c for c, _ in sets]), np.array([len(s) for _, s in sets], np.int32)
-            order = np.argsort(keys)
-            keys, which = keys[order], which[order]
-            part = part_of(keys << _KEY_BITS, parts)
-            at = bounds(part)
-            cells = []
-            for a, b in zip(at, at[1:]):
-                own, index = np.unique(which[a:b], return_inverse=True)
-                cells.append(pack(rising(keys[a:b]), index.astype(np.uint16 if len(own) < 1 << 16 else np.uint32), rising(names[own]), size[own]))  # sets stand in the order of their names
-            yield pa.RecordBatch.from_arrays([pa.array(part[at[:-1]], pa.int32()), pa.array(cells, pa.binary())], ["part", "cell"])
+
+            def cell(i):
+                own, index = np.unique(which[i], return_inverse=True)  # sets stand in the order of their names
+                return pack(rising(keys[i]), index.astype(np.uint16 if len(own) < 1 << 16 else np.uint32), rising(names[own]), size[own])
+
+            dealt, cells = cells_of(part_of(keys, parts), keys, cell)
+            yield pa.RecordBatch.from_arrays([pa.array(dealt, pa.int32()), pa.array(cells, pa.binary())], ["part", "cell"])
 
     return run
 
@@ -205,9 +216,7 @@ def _lists(table: pa.Table) -> pa.Table:
         return pa.table({"part": pa.array([], pa.int32()), "cell": pa.array([], pa.binary()), **{c: pa.array([], pa.int64()) for c in ("a", "b", "times")}})
     begin = np.cumsum(length) - length
     least = np.repeat(names[begin], length)
-    rest = np.ones(len(names), bool)
-    rest[begin] = False
-    a, b = names[rest], least[rest]
+    a, b = names, least  # a class is the least of some of its lists
     order = np.lexsort((b, a))
     a, b = a[order], b[order]
     new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
@@ -231,10 +240,10 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             flat, first = shingle_sets(batch.column(1))
             names = class_names(flat, first)
             right = np.flatnonzero(names == batch.column(0).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(names[right], pa.int64()), pa.array([flat[first[i] : first[i + 1]].tobytes() for i in right], pa.binary())], ["cls", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(names[right], pa.int64()), pa.array([pack(rising(flat[first[i] : first[i + 1]] >> _KEY_BITS)) for i in right], pa.binary())], ["cls", "shingles"])
 
     texts = docs.select("doc_id", "text").join(wanted.select("cls", F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return texts.select("cls", "text").mapInArrow(run, "cls long, shingles binary").dropDuplicates(["cls"])
+    return texts.select("cls", "text").mapInArrow(run, "cls long, shingles binary")
 
 
 def near(a: np.ndarray, b: np.ndarray) -> bool:
@@ -252,7 +261,7 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            ok = [near(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            ok = [near(risen(unpack(a)[0]), risen(unpack(b)[0])) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield batch.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
     pairs = materialise(pairs)
@@ -263,31 +272,46 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _crossing(listed: pa.Table, labels: pa.Table) -> pa.Table:
-    """The pairs of a part's lists that lie in different components."""
-    found: list[np.ndarray] = []
+    """The pairs of a part's lists that lie in different components: how many lists they share here, and must in all.
+
+    labels: the classes that can have partners, and their components.
+    """
     node, root = (labels.column(c).to_numpy() for c in ("cls", "root"))
     order = np.argsort(node)
     node, root = node[order], root[order]
-    for cell in listed.column("cell").to_pylist():
+    found: list[np.ndarray] = []
+    for cell in listed.column("cell").to_pylist() if len(node) else []:
         length, index, own, size = unpack(cell)
         own = risen(own)
-        home = own.copy()
-        if len(node):
-            place = np.minimum(np.searchsorted(node, own), len(node) - 1)
-            home = np.where(node[place] == own, root[place], own)
-        home, begin = home[index], np.cumsum(length.astype(np.int64)) - length
-        mixed = np.minimum.reduceat(home, begin) != np.maximum.reduceat(home, begin)
-        for a, n in zip(begin[mixed].tolist(), length[mixed].tolist()):
+        place = np.minimum(np.searchsorted(node, own), len(node) - 1)
+        alive = (node[place] == own)[index]
+        home = root[place][index][alive]
+        of = np.repeat(np.arange(len(length)), length)[alive]
+        index = index[alive]
+        begin = bounds(of)
+        if len(begin) < 2:
+            continue
+        length = np.diff(begin)
+        mixed = np.minimum.reduceat(home, begin[:-1]) != np.maximum.reduceat(home, begin[:-1])
+        for a, n in zip(begin[:-1][mixed].tolist(), length[mixed].tolist()):
             member, where = index[a : a + n], home[a : a + n]
             many = size[member].astype(np.int64)
             for low in range(0, n, 256):
                 i, j = np.nonzero((where[low : low + 256, None] != where) & (np.minimum(many[low : low + 256, None], many) * WHOLE >= np.maximum(many[low : low + 256, None], many) * SHARE) & (np.arange(low, min(n, low + 256))[:, None] < np.arange(n)))
                 if len(i):
-                    found.append(np.stack([own[member[i + low]], own[member[j]]], 1))
+                    need = shared_lists(np.minimum(many[i + low], many[j]))
+                    found.append(np.stack([own[member[i + low]], own[member[j]], np.ones(len(i), np.int64), need], 1))
                 if len(found) > 512:
-                    found = [np.unique(np.concatenate(found), axis=0)]
-    pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-    return pa.table({"u": pa.array(pairs[:, 0], pa.int64()), "v": pa.array(pairs[:, 1], pa.int64())})
+                    found = [_summed(found)]
+    pairs = _summed(found) if found else np.zeros((0, 4), np.int64)
+    return pa.table({c: pa.array(pairs[:, k], pa.int64()) for k, c in enumerate(("u", "v", "times", "need"))})
+
+
+def _summed(found: list[np.ndarray]) -> np.ndarray:
+    rows = np.concatenate(found)
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    first = np.flatnonzero(np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(1)]))
+    return np.column_stack([rows[first, :2], np.add.reduceat(rows[:, 2], first), rows[first, 3]])
 
 
 def _list_classes(batches):
@@ -317,18 +341,24 @@ def link_components(docs: DataFrame) -> DataFrame:
 
     listed = docs.select("text").mapInArrow(_list_cells(parts, shipped, small), "part int, cell binary").groupBy("part").applyInArrow(_lists, LISTS)
     listed = materialise(listed)
-    shared = listed.filter("cell is null").groupBy("a", "b").agg(F.sum("times").alias("times"))
-    stars = shared.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b"))
-    stars = materialise(stars.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    lists = listed.filter("cell is not null").select("part", "cell")
-    members = lists.mapInArrow(_list_classes, "part int, cls long")
-    owners = named.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    sets = materialise(_sets_of(docs, owners.join(members.select("cls").distinct(), "cls")))
+    shared = materialise(listed.filter("cell is null").groupBy("a", "b").agg(F.sum("times").alias("times")))
+    owners = named.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
+    # a partner may have four fifths of a class's size, and then shares a fifth fewer lists
+    needed = 1 + F.floor(F.ceil(F.col("n") * SHARE / WHOLE) / MAX_SMALL)
+    lists_of = shared.groupBy("a").agg(F.sum("times").alias("lists"))
+    alive = materialise(owners.join(lists_of, F.col("cls") == F.col("a")).filter(F.col("lists") >= needed).select("cls", "doc_id"))
+    one, other = (alive.select(F.col("cls").alias(c)) for c in ("a", "b"))
+    stars = shared.filter("a <> b").join(one, "a", "left_semi").join(other, "b", "left_semi")
+    stars = stars.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b")).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    sets = materialise(_sets_of(docs, alive))
     edges = materialise(links(stars, sets))
     roots = components(edges)
-    labels = members.join(roots.select(F.col("node").alias("cls"), "root"), "cls")
-    crossing = lists.groupBy("part").cogroup(labels.groupBy("part")).applyInArrow(_crossing, "u long, v long").distinct()
-    more = links(crossing, sets)
+    lists = listed.filter("cell is not null").select("part", "cell")
+    homes = alive.join(roots, alive["cls"] == roots["node"], "left").select("cls", F.coalesce("root", "cls").alias("root"))
+    labels = lists.mapInArrow(_list_classes, "part int, cls long").join(homes, "cls")
+    crossing = lists.groupBy("part").cogroup(labels.groupBy("part")).applyInArrow(_crossing, "u long, v long, times long, need long")
+    crossing = crossing.groupBy("u", "v").agg(F.sum("times").alias("times"), F.first("need").alias("need")).filter("times >= need").select("u", "v")
+    more = materialise(links(crossing, sets))
     roots = components(edges.unionByName(more))
     home = owners.join(roots, owners["cls"] == roots["node"], "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
     least_id = home.groupBy("root").agg(F.min("doc_id").alias("component_id"))
