@@ -1 +1 @@
-"""See the modules."""
+"""DataFrame operators on slides, tiles, masks, features, scores and run records."""

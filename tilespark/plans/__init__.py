@@ -1 +1 @@
-"""See the modules."""
+"""Whole queries and pipelines, made of operators."""
