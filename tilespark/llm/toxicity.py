@@ -135,6 +135,22 @@ class Model:
         return min(1.0, max(0.0, float(value))), [(self.ids[i], c, int(self.labels[i])) for c, i in near[:EVIDENCE]]
 
 
+class Scorer:
+    """Text -> (score, evidence); texts with the same counts of known terms are searched for once."""
+
+    def __init__(self, model: Model):
+        self.model, self.known = model, {}
+
+    def __call__(self, text: str | None) -> tuple[float, list[tuple[int, float, int]]]:
+        counts = self.model.counts(tokens(text))
+        key = tuple(sorted(counts.items()))
+        if key not in self.known:
+            if len(self.known) >= CACHED:
+                self.known.clear()
+            self.known[key] = self.model.score(counts)
+        return self.known[key]
+
+
 def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
@@ -191,21 +207,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     near = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
 
     def run(batches):
-        m = shipped.value
-        known: dict[tuple, tuple] = {}
+        scorer = Scorer(shipped.value)
         for batch in slices(batches):
-            out = []
-            for text in batch.column(1).to_pylist():
-                counts = m.counts(tokens(text))
-                key = tuple(sorted(counts.items()))
-                if key not in known:
-                    if len(known) >= CACHED:
-                        known.clear()
-                    value, evidence = m.score(counts)
-                    known[key] = (value, [{"doc_id": i, "cosine": c, "label": y} for i, c, y in evidence])
-                out.append(known[key])
+            out = [scorer(text) for text in batch.column(1).to_pylist()]
             values = [v for v, _ in out]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.float64()), pa.array([int(v >= PREDICT_AT) for v in values], pa.int32()), pa.array([e for _, e in out], near)], ["doc_id", "score", "predicted", "evidence"])
+            found = [[{"doc_id": i, "cosine": c, "label": y} for i, c, y in e] for _, e in out]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.float64()), pa.array([int(v >= PREDICT_AT) for v in values], pa.int32()), pa.array(found, near)], ["doc_id", "score", "predicted", "evidence"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, predicted int, evidence array<struct<doc_id:long,cosine:double,label:int>>")
 
@@ -216,9 +223,9 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches):
-        m = shipped.value
+        scorer = Scorer(shipped.value)
         for batch in slices(batches):
-            yield batch.filter(pa.array([m.score(m.counts(tokens(t)))[0] < PREDICT_AT for t in batch.column(at).to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([scorer(t)[0] < PREDICT_AT for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
