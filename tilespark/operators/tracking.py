@@ -10,10 +10,10 @@ STAGES = (("extracted", "failed_extraction"), ("embedded", "failed_embedding"),
 
 
 def worker_stats(timings: DataFrame) -> DataFrame:
-    """timings (worker_id, processing_time, num_patches), rounded half to even."""
+    """timings (worker_id, processing_time, num_patches), rounded half to even; the noise of adding in any order goes first."""
     time = F.col("processing_time")
     return timings.groupBy("worker_id").agg(
-        F.count(time).alias("files"), F.bround(F.avg(time), 1).alias("mean_time"), F.bround(F.sum(time), 1).alias("total_time"), F.bround(F.max(time), 1).alias("max_time"), F.sum("num_patches").alias("patches")
+        F.count(time).alias("files"), F.bround(F.round(F.avg(time), 6), 1).alias("mean_time"), F.bround(F.round(F.sum(time), 6), 1).alias("total_time"), F.bround(F.max(time), 1).alias("max_time"), F.sum("num_patches").alias("patches")
     )
 
 

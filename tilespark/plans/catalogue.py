@@ -393,7 +393,7 @@ def q29_background_mask(spark, sf_dir):
 
 # ---- run records -----------------------------------------------------------------------------------------------------
 
-_STATS = """WITH w AS (SELECT user_id AS worker_id, count(value) AS files, round_even(avg(value), 1) AS mean_time, round_even(sum(value), 1) AS total_time, round_even(max(value), 1) AS max_time,
+_STATS = """WITH w AS (SELECT user_id AS worker_id, count(value) AS files, round_even(round(avg(value), 6), 1) AS mean_time, round_even(round(sum(value), 6), 1) AS total_time, round_even(max(value), 1) AS max_time,
 sum(event_id % 50)::BIGINT AS patches FROM events GROUP BY 1)"""
 
 
