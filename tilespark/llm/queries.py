@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("toxicity", "bpe", "byte_dedup", "media", "word_dedup", "secret_scan", "jaccard", "fingerprints", "mixing")
+MODULES = ("toxicity", "bpe", "quality", "byte_dedup", "media", "word_dedup", "secret_scan", "jaccard", "fingerprints", "mixing")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
