@@ -10,9 +10,10 @@ consist of common shingles.
 With one shingle more in the prefix, a pair shares one list more. Larger sets list a tenth of their size more, and a
 class with fewer shared lists than that has no partner: those that share a passage only are done with.
 
-A list isn't expanded into pairs. Each class is compared with the least class of the list that it shares most lists
-with, exactly, which joins groups of near copies into components. Then only the pairs of a list that lie in different
-components are left; all of them that share lists enough are compared, so no link between components is lost.
+A list isn't expanded into pairs. The class of a list whose own lists are longest in sum is its hub, as the text that
+near copies were made from would be. Each class is compared exactly with the hub that it shares most lists with, which
+joins groups of near copies into components. Then only the pairs of a list that lie in different components are left;
+all of them that share lists enough are compared, so no link between components is lost.
 
 Defined cases: null text, and text without words, has an empty set and no links; under five words, the whole sequence is
 the one shingle; rows of equal sets are one component whatever their number; a null id is no component's least id unless
@@ -38,9 +39,8 @@ from .text_arrays import U, Words, mix, powers, windows
 GRAM = 5
 #: Jaccard of at least 80 / 100.
 SHARE, WHOLE = 80, 100
-COUNTED = 0.45
-#: Common shingles are told to every worker, at most so many.
-MAX_COMMON = 1 << 21
+#: Common shingles are told to every worker, at most so many; the count from which one is common rises until they fit.
+MAX_COMMON = 1 << 20
 LEAST_COMMON = 32
 PART_ENTRIES = 1 << 20
 MAX_BROADCAST_PAIRS = 50_000
@@ -102,7 +102,7 @@ def _distinct_sets(batch: pa.RecordBatch):
 def _count_cells(parts: int):
     def run(batches):
         for batch in slices(batches):
-            keys = [s[: math.ceil(COUNTED * len(s))] for _, s in _distinct_sets(batch)]
+            keys = [s for _, s in _distinct_sets(batch)]
             if not keys:
                 continue
             keys = np.concatenate(keys) >> _COUNT_BITS
@@ -194,42 +194,137 @@ def _list_cells(parts: int, shipped, small: int):
     return run
 
 
-LISTS = "part int, cell binary, a long, b long, times long"
-
-
-def _lists(table: pa.Table) -> pa.Table:
-    """A part's lists of two and more classes: how often each class shares a list with its least class; and the lists."""
-    keys, names, size = [], [], []
-    for cell in table.column("cell").to_pylist():
-        k, index, name, n = unpack(cell)
-        keys.append(risen(k)), names.append(risen(name)[index]), size.append(n[index])
-    keys, names, size = (np.concatenate(x) for x in (keys, names, size))
-    order = np.lexsort((names, keys))
-    keys, names, size = keys[order], names[order], size[order]
-    fresh = np.concatenate([[True], (keys[1:] != keys[:-1]) | (names[1:] != names[:-1])])
-    keys, names, size = keys[fresh], names[fresh], size[fresh]
-    cut = bounds(keys)
-    length = np.diff(cut)
-    keep = np.repeat(length, length) > 1
-    names, size, length = names[keep], size[keep], length[length > 1]
-    if not len(names):
-        return pa.table({"part": pa.array([], pa.int32()), "cell": pa.array([], pa.binary()), **{c: pa.array([], pa.int64()) for c in ("a", "b", "times")}})
-    begin = np.cumsum(length) - length
-    least = np.repeat(names[begin], length)
-    a, b = names, least  # a class is the least of some of its lists
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-    own, index = np.unique(names, return_inverse=True)
-    sizes = np.zeros(len(own), np.int32)
-    sizes[index] = size
-    part = table.column("part")[0].as_py()
-    cell = pack(length.astype(np.uint32), index.astype(np.uint32), rising(own), sizes)
-    n = len(new)
-    return pa.table({
-        "part": pa.array([part] * (n + 1), pa.int32()), "cell": pa.array([cell] + [None] * n, pa.binary()),
-        "a": pa.array([None, *a[new].tolist()], pa.int64()), "b": pa.array([None, *b[new].tolist()], pa.int64()), "times": pa.array([None, *np.diff(new, append=len(a)).tolist()], pa.int64()),
-    })
+def _by_class(names: np.ndarray, buckets: int, *columns: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """Rows of classes, packed by buckets of the class."""
+    return cells_of((names % buckets).astype(np.int32), names, lambda i: pack(rising(names[i]), *(c[i] for c in columns)))
+
+
+def _lists(buckets: int):
+    """A part's lists of two and more classes; and by bucket, how many each class has there, and their length in all."""
+
+    def run(table: pa.Table) -> pa.Table:
+        keys, names, size = [], [], []
+        for cell in table.column("cell").to_pylist():
+            k, index, name, n = unpack(cell)
+            keys.append(risen(k)), names.append(risen(name)[index]), size.append(n[index])
+        keys, names, size = (np.concatenate(x) for x in (keys, names, size))
+        order = np.lexsort((names, keys))
+        keys, names, size = keys[order], names[order], size[order]
+        fresh = np.concatenate([[True], (keys[1:] != keys[:-1]) | (names[1:] != names[:-1])])
+        keys, names, size = keys[fresh], names[fresh], size[fresh]
+        length = np.diff(bounds(keys))
+        keep = np.repeat(length, length) > 1
+        names, size, length = names[keep], size[keep], length[length > 1]
+        own, first, index = np.unique(names, return_index=True, return_inverse=True)
+        total = np.bincount(index, weights=np.repeat(length, length), minlength=len(own)).astype(np.int64)
+        told, cells = _by_class(own, buckets, np.bincount(index, minlength=len(own)).astype(np.int32), total, size[first])
+        part = table.column("part")[0].as_py()
+        whole = [pack(length.astype(np.uint32), index.astype(np.uint32), rising(own), size[first])] if len(own) else []
+        return pa.table({"part": pa.array([part] * len(whole) + [None] * len(told), pa.int32()), "bucket": pa.array([None] * len(whole) + told, pa.int32()), "cell": pa.array(whole + cells, pa.binary())})
+
+    return run
+
+
+def _class_totals(table: pa.Table) -> pa.Table:
+    """A bucket's classes that can have a partner: cls, weight (the length of their lists in all)."""
+    cells = [unpack(c) for c in table.column("cell").to_pylist()]
+    names, lists, total, size = (np.concatenate(x) for x in zip(*((risen(c[0]), *c[1:]) for c in cells)))
+    own, first, index = np.unique(names, return_index=True, return_inverse=True)
+    # a partner may have four fifths of a class's size, and then shares a fifth fewer lists
+    alive = np.bincount(index, weights=lists) >= shared_lists(-(-size[first].astype(np.int64) * SHARE // WHOLE))
+    return pa.table({"cls": pa.array(own[alive], pa.int64()), "weight": pa.array(np.bincount(index, weights=total).astype(np.int64)[alive], pa.int64())})
+
+
+def _ask(buckets: int):
+    """Which classes a part has, by bucket of the class."""
+
+    def run(batches):
+        for batch in batches:
+            for part, cell in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                told, cells = _by_class(risen(unpack(cell)[2]), buckets)
+                yield pa.RecordBatch.from_arrays([pa.array(told, pa.int32()), pa.array([part] * len(told), pa.int32()), pa.array(cells, pa.binary())], ["bucket", "part", "cell"])
+
+    return run
+
+
+def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+    """To each part, the values of those of its classes that have one."""
+    node, value = (known.column(c).to_numpy() for c in ("cls", "value"))
+    order = np.argsort(node)
+    node, value = node[order], value[order]
+    parts, cells = [], []
+    for part, cell in zip(asked.column("part").to_pylist(), asked.column("cell").to_pylist()):
+        at = np.flatnonzero(np.isin(node, risen(unpack(cell)[0])))
+        if len(at):
+            parts.append(part), cells.append(pack(rising(node[at]), value[at]))
+    return pa.table({"part": pa.array(parts, pa.int32()), "told": pa.array(cells, pa.binary())})
+
+
+def _told_lists(lists: DataFrame, known: DataFrame, buckets: int, work, schema: str) -> DataFrame:
+    """work on each part's lists, and on the values (cls, value) of its classes."""
+    asked = lists.mapInArrow(_ask(buckets), "bucket int, part int, cell binary")
+    known = known.withColumn("bucket", F.pmod("cls", F.lit(buckets)).cast("int"))
+    told = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_answer, "part int, told binary")
+    return lists.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(work, schema)
+
+
+def _known_members(listed: pa.Table, told: pa.Table):
+    """Of each cell of a part: its lists, reduced to the classes that have a value, and of two classes at least.
+
+    Gives (where each list begins, members as indexes, classes, sizes, a value for each member).
+    """
+    cells = [unpack(c) for c in told.column("told").to_pylist()]
+    if not cells:
+        return
+    node, value = (np.concatenate(x) for x in zip(*((risen(n), v) for n, v in cells)))
+    order = np.argsort(node)
+    node, value = node[order], value[order]
+    for cell in listed.column("cell").to_pylist():
+        length, index, own, size = unpack(cell)
+        own = risen(own)
+        place = np.minimum(np.searchsorted(node, own), len(node) - 1)
+        alive = (node[place] == own)[index]
+        of = np.repeat(np.arange(len(length)), length)[alive]
+        index = index[alive]
+        count = np.diff(bounds(of))
+        keep = np.repeat(count, count) > 1
+        index, count = index[keep], count[count > 1]
+        if len(count):
+            yield np.concatenate([[0], np.cumsum(count)]), index, own, size, value[place][index]
+
+
+def _stars(buckets: int):
+    """By bucket of the class: (class, hub, lists of that hub which the class is in)."""
+
+    def run(listed: pa.Table, told: pa.Table) -> pa.Table:
+        names, cells = [], []
+        for begin, index, own, _, weight in _known_members(listed, told):
+            of = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+            order = np.lexsort((index, -weight, of))
+            hub = np.repeat(index[order][begin[:-1]], np.diff(begin))
+            pair = index[order].astype(np.int64) * len(own) + hub
+            pair, times = np.unique(pair[index[order] != hub], return_counts=True)
+            told_, cells_ = _by_class(own[pair // len(own)], buckets, own[pair % len(own)], times.astype(np.int32))
+            names += told_
+            cells += cells_
+        return pa.table({"bucket": pa.array(names, pa.int32()), "cell": pa.array(cells, pa.binary())})
+
+    return run
+
+
+def _best_hub(table: pa.Table) -> pa.Table:
+    u, v, times = (np.concatenate(x) for x in zip(*((risen(u), v, t) for u, v, t in (unpack(c) for c in table.column("cell").to_pylist()))))
+    u, v, times = _summed(u, v, times)
+    order = np.lexsort((v, -times, u))
+    first = order[bounds(u[order])[:-1]]
+    return pa.table({"u": pa.array(u[first], pa.int64()), "v": pa.array(v[first], pa.int64())})
+
+
+def _summed(u: np.ndarray, v: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((v, u))
+    u, v, times = u[order], v[order], times[order].astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (v[1:] != v[:-1])])) if len(u) else np.zeros(0, np.int64)
+    return u[first], v[first], np.add.reduceat(times, first) if len(first) else times
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -271,54 +366,42 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
-def _crossing(listed: pa.Table, labels: pa.Table) -> pa.Table:
-    """The pairs of a part's lists that lie in different components: how many lists they share here, and must in all.
+def _crossing(buckets: int):
+    """The pairs of a part's lists that lie in different components, by bucket: how many lists they share here, and
+    must share in all."""
+
+    def run(listed: pa.Table, told: pa.Table) -> pa.Table:
+        names, cells = [], []
+        for begin, index, own, size, home in _known_members(listed, told):
+            mixed = np.minimum.reduceat(home, begin[:-1]) != np.maximum.reduceat(home, begin[:-1])
+            found: list[np.ndarray] = []
+            for a, b in zip(begin[:-1][mixed].tolist(), begin[1:][mixed].tolist()):
+                member, where, n = index[a:b].astype(np.int64), home[a:b], b - a
+                many = size[member].astype(np.int64)
+                for low in range(0, n, 256):
+                    part, own_size = slice(low, min(n, low + 256)), many[low : low + 256, None]
+                    near_size = np.minimum(own_size, many) * WHOLE >= np.maximum(own_size, many) * SHARE
+                    i, j = np.nonzero((where[part, None] != where) & near_size & (np.arange(low, part.stop)[:, None] < np.arange(n)))
+                    x, y = member[i + low], member[j]
+                    found.append(np.minimum(x, y) * len(own) + np.maximum(x, y))
+            pair, times = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            x, y = pair // len(own), pair % len(own)
+            need = shared_lists(np.minimum(size[x], size[y]).astype(np.int64))
+            told_, cells_ = _by_class(own[x], buckets, own[y], times.astype(np.int32), need.astype(np.int32))
+            names += told_
+            cells += cells_
+        return pa.table({"bucket": pa.array(names, pa.int32()), "cell": pa.array(cells, pa.binary())})
 
-    labels: the classes that can have partners, and their components.
-    """
-    node, root = (labels.column(c).to_numpy() for c in ("cls", "root"))
-    order = np.argsort(node)
-    node, root = node[order], root[order]
-    found: list[np.ndarray] = []
-    for cell in listed.column("cell").to_pylist() if len(node) else []:
-        length, index, own, size = unpack(cell)
-        own = risen(own)
-        place = np.minimum(np.searchsorted(node, own), len(node) - 1)
-        alive = (node[place] == own)[index]
-        home = root[place][index][alive]
-        of = np.repeat(np.arange(len(length)), length)[alive]
-        index = index[alive]
-        begin = bounds(of)
-        if len(begin) < 2:
-            continue
-        length = np.diff(begin)
-        mixed = np.minimum.reduceat(home, begin[:-1]) != np.maximum.reduceat(home, begin[:-1])
-        for a, n in zip(begin[:-1][mixed].tolist(), length[mixed].tolist()):
-            member, where = index[a : a + n], home[a : a + n]
-            many = size[member].astype(np.int64)
-            for low in range(0, n, 256):
-                i, j = np.nonzero((where[low : low + 256, None] != where) & (np.minimum(many[low : low + 256, None], many) * WHOLE >= np.maximum(many[low : low + 256, None], many) * SHARE) & (np.arange(low, min(n, low + 256))[:, None] < np.arange(n)))
-                if len(i):
-                    need = shared_lists(np.minimum(many[i + low], many[j]))
-                    found.append(np.stack([own[member[i + low]], own[member[j]], np.ones(len(i), np.int64), need], 1))
-                if len(found) > 512:
-                    found = [_summed(found)]
-    pairs = _summed(found) if found else np.zeros((0, 4), np.int64)
-    return pa.table({c: pa.array(pairs[:, k], pa.int64()) for k, c in enumerate(("u", "v", "times", "need"))})
-
-
-def _summed(found: list[np.ndarray]) -> np.ndarray:
-    rows = np.concatenate(found)
-    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-    first = np.flatnonzero(np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(1)]))
-    return np.column_stack([rows[first, :2], np.add.reduceat(rows[:, 2], first), rows[first, 3]])
-
-
-def _list_classes(batches):
-    for batch in batches:
-        for part, cell in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            own = risen(unpack(cell)[2])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), part), pa.int32()), pa.array(own, pa.int64())], ["part", "cls"])
+    return run
+
+
+def _enough(table: pa.Table) -> pa.Table:
+    """A bucket's pairs that share lists enough."""
+    u, v, times, need = (np.concatenate(x) for x in zip(*((risen(c[0]), *c[1:]) for c in (unpack(c) for c in table.column("cell").to_pylist()))))
+    left = _summed(u, v, times)
+    needed = _summed(u, v, need)[2] // _summed(u, v, np.ones(len(u), np.int64))[2]  # the same in each part
+    keep = left[2] >= needed
+    return pa.table({"u": pa.array(left[0][keep], pa.int64()), "v": pa.array(left[1][keep], pa.int64())})
 
 
 def link_components(docs: DataFrame) -> DataFrame:
@@ -327,38 +410,38 @@ def link_components(docs: DataFrame) -> DataFrame:
     sc = spark.sparkContext
     named = materialise(classes(docs))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # words are at least two bytes apart, so fewer keys than this are counted in all
-    most_counted = COUNTED * size / 2 + named.count()
-    least = max(LEAST_COMMON, math.ceil(most_counted / MAX_COMMON))
-    parts = max(shuffle_width(spark), math.ceil(size / 30 / PART_ENTRIES))
+    parts = max(shuffle_width(spark), math.ceil(size / 8 / PART_ENTRIES))
 
-    counted = docs.select("text").mapInArrow(_count_cells(parts), "part int, cell binary").groupBy("part").applyInArrow(_common(least), "key long, times long, common boolean")
+    counted = docs.select("text").mapInArrow(_count_cells(parts), "part int, cell binary").groupBy("part").applyInArrow(_common(LEAST_COMMON), "key long, times long, common boolean")
     counted = materialise(counted)
     entries, different = counted.filter("not common").agg(F.coalesce(F.sum("times"), F.lit(0)), F.coalesce(F.sum("key"), F.lit(0))).first()
-    told = counted.filter("common").select("key", "times").orderBy("key").toPandas()  # MAX_COMMON rows at most
+    told = counted.filter("common").select("key", "times")
+    steps = told.groupBy(F.floor(F.log2("times") * 4).alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect()  # four for each doubling
+    fitting, run = None, 0
+    for r in steps:
+        run += r.n
+        if run > MAX_COMMON:
+            break
+        fitting = r.step
+    told = told.filter(F.floor(F.log2("times") * 4) >= fitting) if fitting is not None else told.limit(0)
+    told = told.orderBy("key").toPandas()  # MAX_COMMON rows at most
     shipped = sc.broadcast((told["key"].to_numpy(np.uint64), told["times"].to_numpy(np.int64)))
     small = boundary(entries / different if different else 1.0)
 
-    listed = docs.select("text").mapInArrow(_list_cells(parts, shipped, small), "part int, cell binary").groupBy("part").applyInArrow(_lists, LISTS)
+    buckets = shuffle_width(spark)
+    listed = docs.select("text").mapInArrow(_list_cells(parts, shipped, small), "part int, cell binary").groupBy("part").applyInArrow(_lists(buckets), "part int, bucket int, cell binary")
     listed = materialise(listed)
-    shared = materialise(listed.filter("cell is null").groupBy("a", "b").agg(F.sum("times").alias("times")))
-    owners = named.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
-    # a partner may have four fifths of a class's size, and then shares a fifth fewer lists
-    needed = 1 + F.floor(F.ceil(F.col("n") * SHARE / WHOLE) / MAX_SMALL)
-    lists_of = shared.groupBy("a").agg(F.sum("times").alias("lists"))
-    alive = materialise(owners.join(lists_of, F.col("cls") == F.col("a")).filter(F.col("lists") >= needed).select("cls", "doc_id"))
-    one, other = (alive.select(F.col("cls").alias(c)) for c in ("a", "b"))
-    stars = shared.filter("a <> b").join(one, "a", "left_semi").join(other, "b", "left_semi")
-    stars = stars.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b")).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    lists = listed.filter("part is not null").select("part", "cell")
+    partners = listed.filter("bucket is not null").groupBy("bucket").applyInArrow(_class_totals, "cls long, weight long")
+    owners = named.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+    alive = materialise(partners.join(owners, "cls"))
     sets = materialise(_sets_of(docs, alive))
-    edges = materialise(links(stars, sets))
+    hubs = _told_lists(lists, alive.select("cls", F.col("weight").alias("value")), buckets, _stars(buckets), "bucket int, cell binary")
+    edges = materialise(links(hubs.groupBy("bucket").applyInArrow(_best_hub, "u long, v long"), sets))
     roots = components(edges)
-    lists = listed.filter("cell is not null").select("part", "cell")
-    homes = alive.join(roots, alive["cls"] == roots["node"], "left").select("cls", F.coalesce("root", "cls").alias("root"))
-    labels = lists.mapInArrow(_list_classes, "part int, cls long").join(homes, "cls")
-    crossing = lists.groupBy("part").cogroup(labels.groupBy("part")).applyInArrow(_crossing, "u long, v long, times long, need long")
-    crossing = crossing.groupBy("u", "v").agg(F.sum("times").alias("times"), F.first("need").alias("need")).filter("times >= need").select("u", "v")
-    more = materialise(links(crossing, sets))
+    homes = alive.join(roots, alive["cls"] == roots["node"], "left").select("cls", F.coalesce("root", "cls").alias("value"))
+    crossing = _told_lists(lists, homes, buckets, _crossing(buckets), "bucket int, cell binary")
+    more = materialise(links(crossing.groupBy("bucket").applyInArrow(_enough, "u long, v long"), sets))
     roots = components(edges.unionByName(more))
     home = owners.join(roots, owners["cls"] == roots["node"], "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
     least_id = home.groupBy("root").agg(F.min("doc_id").alias("component_id"))

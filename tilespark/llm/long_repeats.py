@@ -25,16 +25,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, shuffle_width, slices, utf8
+from .common import shuffle_width, slices, utf8
 from .packed import bounds, pack, ranges, rising, risen, unpack
 from .text_arrays import BYTE_VALUE, U, Words, inside, mix, powers, sliding_min, windows
 from .text_index import RunIndex, WaveletIndex, earlier_matches
 
 HOT = 4_096
+#: Text read at once: its windows take some hundred bytes each.
+PIECE_BYTES = 1 << 20
 BUCKET_BYTES = 3 << 20
 MAX_BUCKETS = 20_000
-PART_ENTRIES = 1 << 20
-INDEX_SYMBOLS = 1 << 18
+PART_ENTRIES = 1 << 17
+INDEX_SYMBOLS = 1 << 19
 _NONE = np.iinfo(np.int64).max  # a null id counts as the largest
 _GRAIN = U(0xA24BAED4963EE407)
 _GRAIN_INVERSE = U(pow(int(_GRAIN), -1, 2**64))
@@ -65,7 +67,7 @@ WORDS = Unit(50, 8, False, 130, WaveletIndex)
 def anchors(unit: Unit, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(anchor, first window, number of windows, times) of each run of windows with one anchor, no longer than a window.
 
-    times: how often the anchor's gram stands in the run, 2 at most; only then can a run repeat within itself.
+    times: 2 if the run may repeat within itself, else 1.
     """
     empty = np.zeros(0, np.int64)
     count = len(hashes) - unit.window + 1
@@ -87,19 +89,9 @@ def anchors(unit: Unit, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarr
     key, begin, size = chosen[at][run], ok[at][run] + nth * width, np.minimum(width, length[run] - nth * width)
     times = np.ones(len(key), np.int64)
     if unit.places:
-        # a gram is some window's least if it is the greatest of the least of the windows around it
-        edge = np.zeros(width - 1, np.uint64)
-        places = np.flatnonzero(grams == ~sliding_min(~np.concatenate([edge, least, edge]), width))
-        low, high = np.searchsorted(places, begin), np.searchsorted(places, begin + size + width - 1)
-        seen = np.zeros(len(key), np.int64)
-        more = np.arange(len(key))
-        step = 0
-        while len(more):
-            more = more[low[more] + step < high[more]]
-            seen[more] += grams[places[low[more] + step]] == key[more]
-            more = more[seen[more] < 2]
-            step += 1
-        times = np.maximum(1, seen)
+        # if a window stands twice in a run, so does the gram with which the run's last window begins
+        same = grams[ok] == np.repeat(grams[ok[at + length - 1]], length)
+        times += (np.add.reduceat(same.astype(np.int32), at) > 1)[run]
     return key, begin, size, times
 
 
@@ -132,7 +124,7 @@ def _column(table: pa.Table, name: str) -> list:
 
 def _emit_anchors(unit: Unit, parts: int):
     def run(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, limit=PIECE_BYTES):
             data, offsets = utf8(batch.column(2))
             _, hashes, first = unit.read(data, offsets)
             key, at, _, often = anchors(unit, hashes, first)
@@ -202,7 +194,7 @@ def _emit_snippets(unit: Unit, parts: int):
             keys, hot = keys[order], hot[order]
             bucket = int(docs.column("bucket")[0].as_py())
             gathered = []
-            for batch in slices(docs.combine_chunks().to_batches(), limit=SLICE_BYTES):
+            for batch in slices(docs.combine_chunks().to_batches(), limit=PIECE_BYTES):
                 data, offsets = utf8(batch.column("text"))
                 symbols, hashes, first = unit.read(data, offsets)
                 key, at, n, often = anchors(unit, hashes, first)

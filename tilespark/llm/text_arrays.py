@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from .packed import ranges
+
 U = np.uint64
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 _BASE = U(0x9E3779B97F4A7C15)
@@ -18,21 +20,17 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _WORD_VALUE = np.where(SPACE, U(0), BYTE_VALUE)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
-_powers = np.ones(1, np.uint64)
+_ladders: dict[int, np.ndarray] = {}
 
 
 def powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
-    """base**0 .. base**(n - 1)."""
-    out = np.full(max(n, 1), base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-def _ladder(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        _powers = powers(max(n, 4096))
-    return _powers
+    """base**0 .. base**(n - 1), kept from call to call."""
+    known = _ladders.get(int(base))
+    if known is None or len(known) < n:
+        known = np.full(max(n, 4096), base, np.uint64)
+        known[0] = 1
+        known = _ladders[int(base)] = np.multiply.accumulate(known)
+    return known[:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -72,7 +70,7 @@ class Words:
         place = np.arange(n)
         place[: self.start[0]] = 0
         place[self.start[0] :] -= np.repeat(self.start, np.diff(self.start, append=n))
-        value = _WORD_VALUE[LOWER[data] if lower else data] * _ladder(int(place.max()) + 1)[place]
+        value = _WORD_VALUE[LOWER[data] if lower else data] * powers(int(place.max()) + 1)[place]
         self.hashes = mix(np.add.reduceat(value, self.start))
 
     def owner(self) -> np.ndarray:
@@ -94,8 +92,10 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
 
 def inside(first: np.ndarray, size: int, count: int) -> np.ndarray:
     """Whether the window that starts at each of count places lies in one text."""
-    last = np.repeat(first[1:], np.diff(first))[:count]
-    return np.arange(count) + size <= last
+    out = np.ones(count, bool)
+    from_ = np.minimum(np.maximum(first[:-1], first[1:] - size + 1), count)
+    out[ranges(from_, np.minimum(first[1:], count) - from_)] = False
+    return out
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:

@@ -2,7 +2,8 @@
 
 Both answer backward steps: from the interval of the suffixes that begin with a string to the interval of those that
 begin with one more symbol in front. WaveletIndex keeps the Burrows-Wheeler transform in a wavelet matrix of packed bits
-with counts a word; RunIndex keeps its runs only, with the running counts of each symbol at the runs' ends. Suffixes are
+with counts a word; RunIndex keeps its runs, with the running counts of each symbol at the runs' ends, and the
+run of each place. Suffixes are
 sorted by as many symbols as a pattern can have. Each also keeps the order keys of the places in suffix order, with
 their range minima, to tell whether a string also stands earlier.
 """
@@ -39,19 +40,36 @@ def bounded_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
 
 
 class RangeMinimum:
+    """Minima of all stretches of 1, 2, 4 .. BLOCK values; of longer ones, by whole blocks between two of BLOCK."""
+
+    BLOCK_BITS = 12
+
     def __init__(self, values: np.ndarray):
-        self.levels = [values]
-        while 2 * (1 << len(self.levels) - 1) <= len(values):
-            last, half = self.levels[-1], 1 << len(self.levels) - 1
-            self.levels.append(np.minimum(last[:-half], last[half:]))
-        self.flat = np.concatenate(self.levels)
-        self.base = np.concatenate([[0], np.cumsum([len(v) for v in self.levels])[:-1]])
+        n = len(values)
+        levels = max(1, min(self.BLOCK_BITS + 1, n.bit_length()))
+        size = [n - (1 << k) + 1 for k in range(levels)]
+        self.base = np.cumsum([0, *size])
+        self.flat = np.empty(self.base[-1], values.dtype)
+        self.flat[:n] = values
+        for k in range(1, levels):
+            half, last = 1 << k - 1, self.flat[self.base[k - 1] : self.base[k]]
+            np.minimum(last[: size[k]], last[half : half + size[k]], out=self.flat[self.base[k] : self.base[k + 1]])
+        self.blocks = None
+        if n > 1 << self.BLOCK_BITS:
+            whole = n >> self.BLOCK_BITS
+            self.blocks = RangeMinimum(values[: whole << self.BLOCK_BITS].reshape(whole, -1).min(1))
 
     def least(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """Of values[lo:hi], none empty."""
-        level = np.frexp((hi - lo).astype(np.float64))[1] - 1
+        level = np.minimum(np.frexp((hi - lo).astype(np.float64))[1] - 1, self.BLOCK_BITS)
         base = self.base[level]
-        return np.minimum(self.flat[base + lo], self.flat[base + hi - (1 << level)])
+        out = np.minimum(self.flat[base + lo], self.flat[base + hi - (1 << level)])
+        if self.blocks is not None:
+            first, last = -(-lo >> self.BLOCK_BITS), hi >> self.BLOCK_BITS
+            long = np.flatnonzero((hi - lo > 2 << self.BLOCK_BITS) & (first < last))
+            if len(long):
+                out[long] = np.minimum(out[long], self.blocks.least(first[long], last[long]))
+        return out
 
 
 class _Index:
@@ -71,8 +89,9 @@ class _Index:
 
     def step(self, lo: np.ndarray, hi: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         symbol = symbol.astype(np.int64)
-        both = self.rank(np.concatenate([symbol, symbol]), np.concatenate([lo, hi])) + np.tile(self.before[symbol], 2)
-        return both[: len(lo)], both[len(lo) :]
+        both = self.rank(np.concatenate([symbol, symbol]), np.concatenate([lo, hi]))
+        before = self.before[symbol]
+        return both[: len(lo)] + before, both[len(lo) :] + before
 
 
 class WaveletIndex(_Index):
@@ -84,7 +103,7 @@ class WaveletIndex(_Index):
             packed = np.packbits(bit, bitorder="little")
             packed = np.concatenate([packed, np.zeros(-len(packed) % 8 + 8, np.uint8)]).view(np.uint64)
             self.words.append(packed)
-            self.counts.append(np.concatenate([[0], np.cumsum(np.bitwise_count(packed))]).astype(np.int64))
+            self.counts.append(np.concatenate([[0], np.cumsum(np.bitwise_count(packed), dtype=np.int32)]))
             self.zeros.append(int((~bit).sum()))
             bwt = np.concatenate([bwt[~bit], bwt[bit]])
         every = np.arange(symbols + 1)
@@ -107,6 +126,7 @@ class RunIndex(_Index):
     def _transform(self, bwt: np.ndarray, symbols: int) -> None:
         begins = np.concatenate([[True], bwt[1:] != bwt[:-1]])
         self.run = np.flatnonzero(begins)  # first place of each run
+        self.at = np.append(np.cumsum(begins, dtype=np.int32) - np.int32(1), np.int32(len(self.run) - 1))  # the run of each place
         self.head = bwt[self.run].astype(np.int64)
         runs = len(self.run)
         length = np.diff(self.run, append=len(bwt))
@@ -117,7 +137,7 @@ class RunIndex(_Index):
         self.runs = runs
 
     def rank(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.run, place, "right") - 1  # the run that holds the place, or ends at it
+        at = self.at[place].astype(np.int64)
         before = np.searchsorted(self.of, symbol * (self.runs + 1) + at)
         inside = np.where(self.head[at] == symbol, place - self.run[at], 0)
         return self.full[before] - self.full[self.first[symbol]] + inside
