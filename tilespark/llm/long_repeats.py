@@ -248,8 +248,11 @@ def _emit_snippets(unit: Unit, parts: int):
     return run
 
 
-def _shard_matches(unit: Unit, key: np.ndarray, ids: np.ndarray, start: np.ndarray, span: np.ndarray, offset: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different snippets, sorted by anchor -> (snippet, begin, end) of what stands at an earlier place."""
+def _shard_matches(unit: Unit, key: np.ndarray, ids: np.ndarray, start: np.ndarray, span: np.ndarray, often: np.ndarray, offset: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different snippets, sorted by anchor -> (snippet, begin, end) of what stands at an earlier place.
+
+    The first snippet of an anchor is in the index only: nothing with that anchor is earlier, unless within itself.
+    """
     flat = symbols[ranges(offset, span)]
     if unit.index is RunIndex:
         text, count = flat.astype(np.uint8) + np.uint8(1), 256  # UTF-8 has no byte 255
@@ -269,7 +272,9 @@ def _shard_matches(unit: Unit, key: np.ndarray, ids: np.ndarray, start: np.ndarr
         keys[order] = np.cumsum(~same)
     else:
         keys = np.unique(ids, return_inverse=True)[1].astype(np.int32)[owner]
-    return earlier_matches(unit.index, whole, count, keys, keys, at, span, unit.window)
+    stream = np.flatnonzero(~_least_of_groups(unit, [key], ids, start) | (often > 1))
+    which, begin, end = earlier_matches(unit.index, whole, count, keys, keys, at[stream], span[stream], unit.window)
+    return stream[which], begin, end
 
 
 def _settle(unit: Unit):
@@ -310,7 +315,7 @@ def _settle(unit: Unit):
                 while end < len(pick) and key[distinct[pick[end]]] == key[distinct[pick[end - 1]]]:
                     end += 1  # an anchor's snippets stay together
                 chosen = distinct[pick[at:end]]
-                which, begin, stop = _shard_matches(unit, key[chosen], ids[chosen], start[chosen], span[chosen], offset[chosen], symbols)
+                which, begin, stop = _shard_matches(unit, key[chosen], ids[chosen], start[chosen], span[chosen], often[chosen], offset[chosen], symbols)
                 which = pick[at:end][which]  # of distinct
                 low = np.searchsorted(member, which)
                 times = np.searchsorted(member, which, "right") - low

@@ -25,18 +25,27 @@ def bounded_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
         have = 7
     else:
         keys = text.astype(np.uint64)
-    while True:
-        order = np.argsort(keys)
-        ranked = keys[order]
-        fresh = np.concatenate([[0], ranked[1:] != ranked[:-1]]).astype(np.int64)
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(fresh)
-        if have >= depth or rank[order[-1]] == n - 1:
-            return order
-        after = np.zeros(n, np.int64)
-        after[: n - have] = rank[have:] + 1 if n > have else 0
-        keys = (rank * (n + 1) + after).astype(np.uint64)
+    order = np.argsort(keys)
+    ranked = keys[order]
+    fresh = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+    slot = np.arange(n)
+    rank = np.empty(n, np.int64)  # the first slot of a suffix's group of equals
+    rank[order] = np.maximum.accumulate(np.where(fresh, slot, 0))
+    while have < depth:
+        # only groups of two and more are sorted on; they keep their slots
+        slot = slot[~(fresh & np.append(fresh[1:], True))]
+        if not len(slot):
+            break
+        rest = order[slot]
+        after = np.where(rest + have < n, rank[np.minimum(rest + have, n - 1)] + 1, 0)
+        keys = rank[rest] * (n + 1) + after
+        by = np.argsort(keys)
+        keys, rest = keys[by], rest[by]
+        order[slot] = rest
+        fresh = np.concatenate([[True], keys[1:] != keys[:-1]])
+        rank[rest] = np.maximum.accumulate(np.where(fresh, slot, 0))
         have *= 2
+    return order
 
 
 class RangeMinimum:
@@ -153,7 +162,9 @@ def earlier_matches(kind: type[_Index], text: np.ndarray, symbols: int, keys: np
     behind g can match, so the next one ends at g. A window that holds is extended backwards to its left end s, and
     reported; what stands in front of s then says where the next window may end. All patterns step together.
     """
-    depth = int(length.max()) if len(length) else 0
+    if not len(length):
+        return tuple(np.zeros(0, np.int64) for _ in range(3))
+    depth = int(length.max())
     ahead = kind(text, symbols, keys, depth)  # prepends
     behind = kind(text[::-1].copy(), symbols, end_keys[::-1].copy(), depth)  # appends, as it reads the text backwards
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
