@@ -43,9 +43,10 @@ SHARE, WHOLE = 80, 100
 MAX_COMMON = 1 << 20
 LEAST_COMMON = 32
 PART_ENTRIES = 1 << 20
-MAX_BROADCAST_PAIRS = 50_000
+#: Sets of a block, and requests that a task answers on it.
+BLOCK_SETS = 1_000
+BLOCK_REQUESTS = 4_000
 _KEY_BITS = U(16)  # keys are the upper 48 bits: a clash only adds a candidate
-_COUNT_BITS = U(24)  # and are counted by their upper 40: a clash only moves both in the order
 #: From this size on, sets list their shingles one by one.
 MAX_SMALL = 10
 
@@ -99,13 +100,13 @@ def _distinct_sets(batch: pa.RecordBatch):
     return [(names[i], flat[first[i] : first[i + 1]]) for i in rows if names[i]]
 
 
-def _count_cells(parts: int):
+def _count_cells(parts: int, drop: np.uint64):
     def run(batches):
         for batch in slices(batches):
             keys = [s for _, s in _distinct_sets(batch)]
             if not keys:
                 continue
-            keys = np.concatenate(keys) >> _COUNT_BITS
+            keys = np.concatenate(keys) >> drop
             names, cells = cells_of(part_of(keys, parts), keys, lambda i: pack(rising(keys[i])))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(cells, pa.binary())], ["part", "cell"])
 
@@ -143,15 +144,16 @@ def shared_lists(n: int | np.ndarray) -> int | np.ndarray:
     return 1 + n // MAX_SMALL
 
 
-def keys_of(shingles: np.ndarray, common: np.ndarray, times: np.ndarray, small: int) -> np.ndarray:
-    """The keys that a set is listed under. common, times: the common shingles' keys, sorted, and their counts."""
+def keys_of(shingles: np.ndarray, common: np.ndarray, times: np.ndarray, small: int, drop: np.uint64) -> np.ndarray:
+    """The keys that a set is listed under. common, times: the common shingles without their low bits, sorted, and their
+    counts."""
     n = len(shingles)
     if n < 2:
         return shingles[:0]  # only an equal set is near enough, and that is the same class
     key = shingles >> _KEY_BITS
     want = prefix_size(n, max(2, shared_lists(n)))
     if len(common):
-        counted = shingles >> _COUNT_BITS
+        counted = shingles >> drop
         place = np.minimum(np.searchsorted(common, counted), len(common) - 1)
         heavy = common[place] == counted
         light = key[~heavy][:want]
@@ -172,12 +174,12 @@ def keys_of(shingles: np.ndarray, common: np.ndarray, times: np.ndarray, small:
     return np.unique(np.concatenate([singles, pairs]))
 
 
-def _list_cells(parts: int, shipped, small: int):
+def _list_cells(parts: int, shipped, small: int, drop: np.uint64):
     def run(batches):
         common, times = shipped.value
         for batch in slices(batches):
             sets = _distinct_sets(batch)
-            listed = [keys_of(s, common, times, small) for _, s in sets]
+            listed = [keys_of(s, common, times, small, drop) for _, s in sets]
             keys = np.concatenate(listed) if listed else np.zeros(0, np.uint64)
             if not len(keys):
                 continue
@@ -312,12 +314,25 @@ def _stars(buckets: int):
     return run
 
 
-def _best_hub(table: pa.Table) -> pa.Table:
-    u, v, times = (np.concatenate(x) for x in zip(*((risen(u), v, t) for u, v, t in (unpack(c) for c in table.column("cell").to_pylist()))))
-    u, v, times = _summed(u, v, times)
-    order = np.lexsort((v, -times, u))
-    first = order[bounds(u[order])[:-1]]
-    return pa.table({"u": pa.array(u[first], pa.int64()), "v": pa.array(v[first], pa.int64())})
+def _best_hub(blocks: int):
+    def run(table: pa.Table) -> pa.Table:
+        u, v, times = (np.concatenate(x) for x in zip(*((risen(u), v, t) for u, v, t in (unpack(c) for c in table.column("cell").to_pylist()))))
+        u, v, times = _summed(u, v, times)
+        order = np.lexsort((v, -times, u))
+        first = order[bounds(u[order])[:-1]]
+        return _requests(u[first], v[first], blocks)
+
+    return run
+
+
+def _requests(u: np.ndarray, v: np.ndarray, blocks: int) -> pa.Table:
+    """Pairs to compare, a row for each u and block of classes v."""
+    block = v % blocks
+    order = np.lexsort((v, block, u))
+    u, v, block = u[order], v[order], block[order]
+    first = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (block[1:] != block[:-1])])) if len(u) else np.zeros(0, np.int64)
+    cells = [pack(rising(v[a:b])) for a, b in zip(first, np.append(first[1:], len(u)))]
+    return pa.table({"block": pa.array(block[first], pa.int32()), "u": pa.array(u[first], pa.int64()), "cell": pa.array(cells, pa.binary())})
 
 
 def _summed(u: np.ndarray, v: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -351,19 +366,29 @@ def near(a: np.ndarray, b: np.ndarray) -> bool:
     return WHOLE * both >= SHARE * (len(a) + len(b) - both)
 
 
-def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose sets are near enough, compared in full. Few pairs are sent to the sets; many are dealt."""
+def _compare(requests: pa.Table, block: pa.Table) -> pa.Table:
+    """Requests (u, cell, own) to a block of sets (cls, shingles) -> the pairs that are near enough."""
+    at = {c: i for i, c in enumerate(block.column("cls").to_pylist())}
+    sets: dict[int, np.ndarray] = {}
+    packed, found = block.column("shingles"), []
+    for u, cell, shingles in zip(*(requests.column(c).to_pylist() for c in ("u", "cell", "own"))):
+        own = risen(unpack(shingles)[0])
+        for v in risen(unpack(cell)[0]).tolist():
+            if v not in sets:
+                sets[v] = risen(unpack(packed[at[v]].as_py())[0])
+            if near(own, sets[v]):
+                found.append((u, v))
+    return pa.table({c: pa.array([f[k] for f in found], pa.int64()) for k, c in enumerate("uv")})
 
-    def run(batches):
-        for batch in batches:
-            ok = [near(risen(unpack(a)[0]), risen(unpack(b)[0])) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield batch.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
-    pairs = materialise(pairs)
-    few = F.broadcast if pairs.count() <= MAX_BROADCAST_PAIRS else lambda x: x
-    left = sets.select(F.col("cls").alias("u"), F.col("shingles").alias("a")).join(few(pairs), "u")
-    both = left.join(sets.select(F.col("cls").alias("v"), F.col("shingles").alias("b")), "v")
-    return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
+def links(requests: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
+    """The pairs (u, v) whose sets are near enough, compared in full: a request's set goes to each block of sets that it
+    has partners in, so pairs are never rows. A block with many requests is answered in several tasks."""
+    requests = materialise(requests)
+    salts = max(1, math.ceil(requests.count() / (blocks * BLOCK_REQUESTS)))
+    left = requests.join(sets.select(F.col("cls").alias("u"), F.col("shingles").alias("own")), "u").withColumn("salt", F.pmod(F.xxhash64("u"), F.lit(salts)).cast("int"))
+    right = sets.withColumn("block", F.pmod("cls", F.lit(blocks)).cast("int")).withColumn("salt", F.explode(F.array(*(F.lit(i) for i in range(salts)))) if salts > 1 else F.lit(0))
+    return left.groupBy("block", "salt").cogroup(right.groupBy("block", "salt")).applyInArrow(_compare, "u long, v long")
 
 
 def _crossing(buckets: int):
@@ -395,13 +420,17 @@ def _crossing(buckets: int):
     return run
 
 
-def _enough(table: pa.Table) -> pa.Table:
+def _enough(blocks: int):
     """A bucket's pairs that share lists enough."""
-    u, v, times, need = (np.concatenate(x) for x in zip(*((risen(c[0]), *c[1:]) for c in (unpack(c) for c in table.column("cell").to_pylist()))))
-    left = _summed(u, v, times)
-    needed = _summed(u, v, need)[2] // _summed(u, v, np.ones(len(u), np.int64))[2]  # the same in each part
-    keep = left[2] >= needed
-    return pa.table({"u": pa.array(left[0][keep], pa.int64()), "v": pa.array(left[1][keep], pa.int64())})
+
+    def run(table: pa.Table) -> pa.Table:
+        u, v, times, need = (np.concatenate(x) for x in zip(*((risen(c[0]), *c[1:]) for c in (unpack(c) for c in table.column("cell").to_pylist()))))
+        left = _summed(u, v, times)
+        needed = _summed(u, v, need)[2] // _summed(u, v, np.ones(len(u), np.int64))[2]  # the same in each part
+        keep = left[2] >= needed
+        return _requests(left[0][keep], left[1][keep], blocks)
+
+    return run
 
 
 def link_components(docs: DataFrame) -> DataFrame:
@@ -411,8 +440,10 @@ def link_components(docs: DataFrame) -> DataFrame:
     named = materialise(classes(docs))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(shuffle_width(spark), math.ceil(size / 8 / PART_ENTRIES))
+    # counted by six bits more than number them all: a clash only moves both shingles in the order
+    drop = U(max(16, 64 - max(32, math.ceil(math.log2(size / 2 + 2)) + 6)))
 
-    counted = docs.select("text").mapInArrow(_count_cells(parts), "part int, cell binary").groupBy("part").applyInArrow(_common(LEAST_COMMON), "key long, times long, common boolean")
+    counted = docs.select("text").mapInArrow(_count_cells(parts, drop), "part int, cell binary").groupBy("part").applyInArrow(_common(LEAST_COMMON), "key long, times long, common boolean")
     counted = materialise(counted)
     entries, different = counted.filter("not common").agg(F.coalesce(F.sum("times"), F.lit(0)), F.coalesce(F.sum("key"), F.lit(0))).first()
     told = counted.filter("common").select("key", "times")
@@ -429,7 +460,7 @@ def link_components(docs: DataFrame) -> DataFrame:
     small = boundary(entries / different if different else 1.0)
 
     buckets = shuffle_width(spark)
-    listed = docs.select("text").mapInArrow(_list_cells(parts, shipped, small), "part int, cell binary").groupBy("part").applyInArrow(_lists(buckets), "part int, bucket int, cell binary")
+    listed = docs.select("text").mapInArrow(_list_cells(parts, shipped, small, drop), "part int, cell binary").groupBy("part").applyInArrow(_lists(buckets), "part int, bucket int, cell binary")
     listed = materialise(listed)
     lists = listed.filter("part is not null").select("part", "cell")
     partners = listed.filter("bucket is not null").groupBy("bucket").applyInArrow(_class_totals, "cls long, weight long")
@@ -437,11 +468,13 @@ def link_components(docs: DataFrame) -> DataFrame:
     alive = materialise(partners.join(owners, "cls"))
     sets = materialise(_sets_of(docs, alive))
     hubs = _told_lists(lists, alive.select("cls", F.col("weight").alias("value")), buckets, _stars(buckets), "bucket int, cell binary")
-    edges = materialise(links(hubs.groupBy("bucket").applyInArrow(_best_hub, "u long, v long"), sets))
+    blocks = max(1, math.ceil(alive.count() / BLOCK_SETS))
+    asked = "block int, u long, cell binary"
+    edges = materialise(links(hubs.groupBy("bucket").applyInArrow(_best_hub(blocks), asked), sets, blocks))
     roots = components(edges)
     homes = alive.join(roots, alive["cls"] == roots["node"], "left").select("cls", F.coalesce("root", "cls").alias("value"))
     crossing = _told_lists(lists, homes, buckets, _crossing(buckets), "bucket int, cell binary")
-    more = materialise(links(crossing.groupBy("bucket").applyInArrow(_enough, "u long, v long"), sets))
+    more = materialise(links(crossing.groupBy("bucket").applyInArrow(_enough(blocks), asked), sets, blocks))
     roots = components(edges.unionByName(more))
     home = owners.join(roots, owners["cls"] == roots["node"], "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
     least_id = home.groupBy("root").agg(F.min("doc_id").alias("component_id"))
