@@ -28,8 +28,8 @@ def test_listing(spark, tmp_path):
     assert listing.single(spark, "/q/c.Svs").first().stem == "c"
     with pytest.raises(ValueError):
         listing.single(spark, "/q/c.doc")
-    (tmp_path / "x_titan.pt").write_bytes(b"1")
-    assert [r.stem for r in listing.stems(spark, str(tmp_path), "_titan.pt").collect()] == ["x"]
+    (tmp_path / "x_vec.pt").write_bytes(b"1")
+    assert [r.stem for r in listing.stems(spark, str(tmp_path), "_vec.pt").collect()] == ["x"]
 
 
 def test_tables(spark, tmp_path):

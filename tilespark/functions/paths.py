@@ -30,6 +30,6 @@ def strip_prefix(path: Column, prefix: str) -> Column:
     return F.when(F.startswith(path, F.lit(prefix)), F.substring(path, F.lit(len(prefix) + 1), F.char_length(path))).otherwise(path)
 
 
-def result_name(name: Column, mark: str = "_titan") -> Column:
+def result_name(name: Column, mark: str) -> Column:
     """A result's stem without every mark in it, wherever it stands."""
     return F.replace(name, F.lit(mark), F.lit(""))

@@ -476,7 +476,7 @@ def q48_output_parsing(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", tracking.patches_in(said).alias("patches"), tracking.inferred_status(said, F.when((i % 5 == 0) & (i % 3 != 0), 1).otherwise(0)).alias("status"))
 
 
-@query("SELECT page_id, replace(regexp_extract(url, '([^/]+)/*$', 1) || '_titan_titan', '_titan', '') AS name, CASE WHEN starts_with(url, 'https://') THEN substr(url, 9) ELSE url END AS relative FROM pages")
+@query("SELECT page_id, replace(regexp_extract(url, '([^/]+)/*$', 1) || '_vec_vec', '_vec', '') AS name, CASE WHEN starts_with(url, 'https://') THEN substr(url, 9) ELSE url END AS relative FROM pages")
 def q49_result_names(spark, sf_dir):
     url = F.col("url")
-    return table(spark, sf_dir, "pages").select("page_id", paths.result_name(F.concat(paths.basename(url), F.lit("_titan_titan"))).alias("name"), paths.strip_prefix(url, "https://").alias("relative"))
+    return table(spark, sf_dir, "pages").select("page_id", paths.result_name(F.concat(paths.basename(url), F.lit("_vec_vec")), "_vec").alias("name"), paths.strip_prefix(url, "https://").alias("relative"))
