@@ -73,3 +73,40 @@ def test_incremental_intake(spark, tmp_path):
     (inbox / "2.txt").write_text("/e/a.svs\n/d/b.svs\n")
     run()
     assert sorted(r.stem for r in spark.read.parquet(done).collect()) == ["a", "b"]
+
+
+def test_pictures(spark, tmp_path):
+    import struct
+    import zlib
+
+    from tilespark.sources import images
+
+    rng = np.random.default_rng(3)
+    for image in (rng.integers(0, 256, (5, 7, 3)).astype(np.uint8), rng.integers(0, 256, (4, 6)).astype(np.uint8)):
+        data = images.png(image)
+        assert struct.unpack_from(">II", data, 16) == (image.shape[1], image.shape[0])
+        size = struct.unpack_from(">I", data, 33)[0]
+        rows = np.frombuffer(zlib.decompress(data[41 : 41 + size]), np.uint8).reshape(image.shape[0], -1)
+        assert (rows[:, 1:].reshape(image.shape) == image).all()
+    drawn = images.overlay(np.zeros((10, 10, 3), np.uint8), np.array([2]), np.array([3]), 4, ["red"])
+    assert (drawn[3, 2:7] == (255, 0, 0)).all() and (drawn[3:8, 6] == (255, 0, 0)).all() and not drawn[4:7, 3:6].any()
+    tile = rng.integers(0, 256, (4, 3, 3)).astype(np.uint8)
+    rows = spark.createDataFrame([("s/patch_0_0.png", bytearray(tile.tobytes()), 3)], "name string, pixels binary, width int")
+    images.write_files(rows.select("name", images.tile_png("pixels", "width").alias("content")), str(tmp_path))
+    assert (tmp_path / "s/patch_0_0.png").read_bytes() == images.png(tile)
+
+
+def test_tiff_tag():
+    import struct
+
+    from tilespark.sources import images
+
+    for order in "<>":
+        entries = [(256, 3, 1, 5), (262, 3, 1, 2)]
+        data = (b"II" if order == "<" else b"MM") + struct.pack(f"{order}HIH", 42, 8, 2) + b"".join(struct.pack(f"{order}HHIHH", t, k, n, v, 0) for t, k, n, v in entries) + bytes(4)
+        out = images.tiff_with_tag(data)
+        assert struct.unpack_from(f"{order}H", out, 10 + 12 + 8)[0] == 6 and len(out) == len(data)
+        with pytest.raises(ValueError):
+            images.tiff_with_tag(data, tag=999)
+    with pytest.raises(ValueError):
+        images.tiff_with_tag(b"no")
