@@ -41,10 +41,11 @@ GRAM = 5
 SHARE, WHOLE = 80, 100
 #: Common shingles are told to every worker, at most so many; the count from which one is common rises until they fit.
 MAX_COMMON = 1 << 20
+SLOTS = 1 << 20
 LEAST_COMMON = 32
 PART_ENTRIES = 1 << 20
 #: Sets of a block, and requests that a task answers on it.
-BLOCK_SETS = 1_000
+BLOCK_SETS = 4_000
 BLOCK_REQUESTS = 4_000
 _KEY_BITS = U(16)  # keys are the upper 48 bits: a clash only adds a candidate
 #: From this size on, sets list their shingles one by one.
@@ -343,17 +344,28 @@ def _summed(u: np.ndarray, v: np.ndarray, times: np.ndarray) -> tuple[np.ndarray
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """wanted (cls, doc_id): each class's shingles, from one of its texts."""
+    """wanted (cls, doc_id): each class's shingles, from one of its texts.
+
+    A bitmap of SLOTS bits over hashes of the wanted ids spares most other texts; it never exceeds that, and where it
+    is full, all texts are read and the join decides. Only sets are dealt, not texts.
+    """
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int")
+    marked = np.zeros(SLOTS, bool)
+    marked[[r.slot for r in wanted.select(slot.alias("slot")).distinct().collect()]] = True
+    shipped = docs.sparkSession.sparkContext.broadcast(np.packbits(marked))
 
     def run(batches):
-        for batch in slices(batches):
-            flat, first = shingle_sets(batch.column(1))
-            names = class_names(flat, first)
-            right = np.flatnonzero(names == batch.column(0).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(names[right], pa.int64()), pa.array([pack(rising(flat[first[i] : first[i + 1]] >> _KEY_BITS)) for i in right], pa.binary())], ["cls", "shingles"])
+        mark = np.unpackbits(shipped.value).astype(bool)
+        for batch in batches:
+            for part in slices(iter([batch.filter(pa.array(mark[batch.column(0).to_numpy()]))])):
+                flat, first = shingle_sets(part.column(2))
+                names = class_names(flat, first)
+                packed = [pack(rising(flat[a:b] >> _KEY_BITS)) for a, b in zip(first, first[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), part.column(1), pa.array(packed, pa.binary())], ["cls", "doc_id", "shingles"])
 
-    texts = docs.select("doc_id", "text").join(wanted.select("cls", F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return texts.select("cls", "text").mapInArrow(run, "cls long, shingles binary")
+    sets = docs.select(slot.alias("slot"), "doc_id", "text").mapInArrow(run, "cls long, doc_id long, shingles binary")
+    keys = wanted.select("cls", F.col("doc_id").alias("_id")).hint("merge")
+    return sets.join(keys, (sets["cls"] == keys["cls"]) & sets["doc_id"].eqNullSafe(keys["_id"])).select(sets["cls"], "shingles")
 
 
 def near(a: np.ndarray, b: np.ndarray) -> bool:
@@ -386,7 +398,8 @@ def links(requests: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
     has partners in, so pairs are never rows. A block with many requests is answered in several tasks."""
     requests = materialise(requests)
     salts = max(1, math.ceil(requests.count() / (blocks * BLOCK_REQUESTS)))
-    left = requests.join(sets.select(F.col("cls").alias("u"), F.col("shingles").alias("own")), "u").withColumn("salt", F.pmod(F.xxhash64("u"), F.lit(salts)).cast("int"))
+    # a merge at every size: what could be broadcast grows with the corpus
+    left = requests.hint("merge").join(sets.select(F.col("cls").alias("u"), F.col("shingles").alias("own")), "u").withColumn("salt", F.pmod(F.xxhash64("u"), F.lit(salts)).cast("int"))
     right = sets.withColumn("block", F.pmod("cls", F.lit(blocks)).cast("int")).withColumn("salt", F.explode(F.array(*(F.lit(i) for i in range(salts)))) if salts > 1 else F.lit(0))
     return left.groupBy("block", "salt").cogroup(right.groupBy("block", "salt")).applyInArrow(_compare, "u long, v long")
 
