@@ -49,4 +49,17 @@ def brute(rows: list[tuple[int, str]], size: int = 100) -> dict[int, tuple]:
 
 
 QUERIES = {"op4_byte_dedup": op4_byte_dedup}
-SQL: dict[str, str] = {}
+SQL = {
+    "op4_byte_dedup": r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+u AS (SELECT doc_id, unnest(regexp_extract_all(x, '..')) AS b, unnest(range(length(x) // 2)) AS i FROM d),
+s AS (SELECT doc_id, i, b, string_agg(b, '') OVER f AS win, count(*) OVER f AS n FROM u WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 99 FOLLOWING)),
+h AS (SELECT doc_id, i, b, CASE WHEN n = 100 THEN md5_number(win) END AS h FROM s),
+m AS (SELECT h, min(doc_id * 1000000000::HUGEINT + i) AS least FROM h WHERE h IS NOT NULL GROUP BY h),
+g AS (SELECT doc_id, i, b, coalesce(least < doc_id * 1000000000::HUGEINT + i, false) AS late FROM h LEFT JOIN m ON m.h = h.h),
+c AS (SELECT doc_id, i, b, bool_or(late) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS gone FROM g),
+e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM c),
+k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans, string_agg(b, '' ORDER BY i) FILTER (NOT gone) AS kept FROM e GROUP BY doc_id)
+SELECT d.doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+"""
+}

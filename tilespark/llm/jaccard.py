@@ -529,4 +529,18 @@ def brute(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]:
 
 
 QUERIES = {"op8_jaccard_components": op8_jaccard_components}
-SQL: dict[str, str] = {}
+SQL = {
+    "op8_jaccard_components": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+u AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i, len(w) AS n FROM d),
+f AS (SELECT doc_id, i, n, string_agg(word, ' ') OVER g AS sh, count(*) OVER g AS c FROM u WINDOW g AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),
+s AS (SELECT DISTINCT doc_id, md5_number(sh) AS sh FROM f WHERE c = 5 OR (n < 5 AND i = 0)),
+z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN z a ON a.doc_id = x JOIN z b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y)
+SELECT d.doc_id, coalesce(any_value(z.n), 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(min(r.y), d.doc_id)) AS component_id
+FROM d LEFT JOIN z USING (doc_id) LEFT JOIN r ON r.x = d.doc_id GROUP BY d.doc_id
+"""
+}

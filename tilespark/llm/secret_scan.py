@@ -150,4 +150,30 @@ def digest(text: str | None) -> tuple[int, int, int, str, str]:
 
 
 QUERIES = {"op7_secret_ledger": op7_secret_ledger}
-SQL: dict[str, str] = {}
+
+
+def _sql_rule(kind: str, pattern: str, place: int, group: int = 0, least: int = 0) -> str:
+    """Matches and the pieces between them give the places of the matches."""
+    quoted = pattern.replace("'", "''")
+    return f"""SELECT doc_id, '{kind}' AS kind, {place} AS k, list_transform(range(1, len(m) + 1), lambda i: {{'s': list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0), 'n': length(m[i]), 'g': length(g[i])}}) AS f, {least} AS least
+FROM (SELECT doc_id, regexp_extract_all(t, '{quoted}') AS m, regexp_split_to_array(t, '{quoted}') AS p, regexp_extract_all(t, '{quoted}', {group}) AS g FROM d)"""
+
+
+_SQL_RULES = (
+    ("assign", r"""(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    ("access", r"AKIA[A-Z0-9]+", 0, 18),
+    ("hex", r"[0-9a-f]+", 0, 16),
+    ("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
+)
+SQL = {
+    "op7_secret_ledger": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+r AS ({" UNION ALL ".join(_sql_rule(kind, pattern, place, group, least) for place, (kind, pattern, group, least) in enumerate(_SQL_RULES))}),
+u AS (SELECT doc_id, kind, k, least, unnest(f) AS f FROM r),
+x AS (SELECT doc_id, kind, k, f.s AS a, kind || ':' || f.s::BIGINT || ':' || (f.s + f.n)::BIGINT AS span FROM u WHERE f.g >= least)
+SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+sha256(coalesce(string_agg(span, ',' ORDER BY a, k) FILTER (k < 3), '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY a, k), '') AS spans
+FROM d LEFT JOIN x USING (doc_id) GROUP BY d.doc_id
+"""
+}

@@ -53,4 +53,16 @@ def brute(rows: list[tuple[int, str]], size: int = 50) -> dict[int, tuple]:
 
 
 QUERIES = {"op6_word_dedup": op6_word_dedup}
-SQL: dict[str, str] = {}
+SQL = {
+    "op6_word_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+u AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM d),
+s AS (SELECT doc_id, i, word, string_agg(word, ' ') OVER f AS win, count(*) OVER f AS n FROM u WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+h AS (SELECT doc_id, i, word, CASE WHEN n = 50 THEN md5(win) END AS h FROM s),
+m AS (SELECT h, min(doc_id) AS least FROM h WHERE h IS NOT NULL GROUP BY h),
+g AS (SELECT h.doc_id, i, word, coalesce(least < h.doc_id, false) AS late FROM h LEFT JOIN m ON m.h = h.h),
+c AS (SELECT doc_id, i, word, bool_or(late) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM g),
+k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+"""
+}
