@@ -38,6 +38,14 @@ def test_equals_the_library(reference, text):
     assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(text)
 
 
+@given(st.lists(st.sampled_from([" ", "  ", "\n", "\t", "\u00a0", "\u3000", "\x1c", "a", "bc", "12", "'s", "!", "é", "the", "\u200b"]), max_size=30))
+@settings(max_examples=400, deadline=None)
+def test_white_space_of_all_kinds(reference, parts):
+    text = "".join(parts)
+    ids = b"".join(bpe.encode_texts([text], PATH, P.PATTERN))
+    assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(text)
+
+
 def test_long_and_repetitive_pieces(reference, transducer):
     rng = random.Random(0)
     for piece in ("a" * 3000, "ab" * 700, "".join(rng.choice("abcdefghij") for _ in range(2000)), "é" * 500, " " * 999):

@@ -15,9 +15,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import importlib
+import re
 import sys
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents, slices
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CACHED_PIECES = 300_000
+CACHED_PIECES = 250_000
 CACHED_STATES = 150_000
 CACHED_PAIRS = 400_000
 NEVER = 1 << 60
@@ -154,29 +155,51 @@ def _little(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
-class Pieces(dict):
-    """Piece of text -> its ids as little-endian 32-bit bytes, filled on demand.
+class _Cache(dict):
+    """Filled on demand. When full, it becomes the old generation, from which what is met again comes back; the rest
+    goes with the next one."""
 
-    When full, it becomes the old generation, from which pieces met again come back; the rest goes with the next one.
-    """
-
-    def __init__(self, ranks: dict[bytes, int]):
-        self.transducer = Transducer(ranks)
+    def __init__(self):
         self.old: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> bytes:
-        out = self.old.get(piece)
+    def make(self, key: str) -> bytes:
+        raise NotImplementedError
+
+    def __missing__(self, key: str) -> bytes:
+        out = self.old.get(key)
         if out is None:
-            out = _little(self.transducer.encode(piece.encode()))
-            if len(piece) > 64:
+            out = self.make(key)
+            if len(key) > 64:
                 return out
         if len(self) >= CACHED_PIECES:
             self.old = dict(self)
             self.clear()
-        self[piece] = out
+        self[key] = out
         return out
 
 
+class Pieces(_Cache):
+    """Piece of text -> its ids as little-endian 32-bit bytes."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__()
+        self.transducer = Transducer(ranks)
+
+    def make(self, key: str) -> bytes:
+        return _little(self.transducer.encode(key.encode()))
+
+
+class SpacedWords(_Cache):
+    """What stands between two spaces -> the ids of it and the space before it."""
+
+    def __init__(self, pieces: Pieces, split: Callable[[str], list[str]]):
+        super().__init__()
+        self.pieces, self.split = pieces, split
+
+    def make(self, key: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.split(f" {key}")))
+
+
 class Utf8Machine:
     """Incremental UTF-8: feed() gives the text that is complete, and keeps an unfinished last character."""
 
@@ -215,14 +238,29 @@ def codec(path: str, pattern: str) -> tuple:
     import regex
 
     if (path, pattern) not in _CODECS:
-        _CODECS[path, pattern] = (Pieces(read_ranks(path)), regex.compile(pattern).findall)
+        pieces, split = Pieces(read_ranks(path)), regex.compile(pattern).findall
+        _CODECS[path, pattern] = (pieces, split, SpacedWords(pieces, split))
     return _CODECS[path, pattern]
 
 
-def encode_texts(texts: Iterable[str | None], path: str, pattern: str) -> Iterator[bytes]:
-    pieces, split = codec(path, pattern)
+#: White space before a space: the two may be one piece.
+_SPACES = tuple(f"{c} " for c in " \t\n\v\f\r")
+_ANY_SPACES = re.compile(r"\s ")
+
+
+def encode_texts(texts: Iterable[str | None], path: str, pattern: str, at_spaces: bool | None = None) -> Iterator[bytes]:
+    """at_spaces: whether a piece may have white space at its beginning only, so that one ends before every space that
+    follows something else. Holds for the public pattern, and is taken to hold for no other unless said so."""
+    pieces, split, words = codec(path, pattern)
+    if at_spaces is None:
+        at_spaces = pattern == default_vocabulary()[1]
     for text in texts:
-        yield b"".join(map(pieces.__getitem__, split(text or "")))
+        text = text or ""
+        if not at_spaces or any(s in text for s in _SPACES) or not text.isascii() and _ANY_SPACES.search(text):
+            yield b"".join(map(pieces.__getitem__, split(text)))
+        else:
+            first, *rest = text.split(" ")
+            yield b"".join([*map(pieces.__getitem__, split(first)), *map(words.__getitem__, rest)])
 
 
 def default_vocabulary() -> tuple[str, str]:
