@@ -27,9 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents, slices
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CACHED_PIECES = 250_000
-CACHED_STATES = 150_000
-CACHED_PAIRS = 400_000
+CACHED_PIECES = 100_000
+CACHED_WORDS = 150_000
+CACHED_STATES = 100_000
+CACHED_PAIRS = 300_000
 NEVER = 1 << 60
 DECODE_IDS = 1 << 16
 
@@ -159,7 +160,8 @@ class _Cache(dict):
     """Filled on demand. When full, it becomes the old generation, from which what is met again comes back; the rest
     goes with the next one."""
 
-    def __init__(self):
+    def __init__(self, size: int):
+        self.size = size
         self.old: dict[str, bytes] = {}
 
     def make(self, key: str) -> bytes:
@@ -171,7 +173,7 @@ class _Cache(dict):
             out = self.make(key)
             if len(key) > 64:
                 return out
-        if len(self) >= CACHED_PIECES:
+        if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
         self[key] = out
@@ -182,7 +184,7 @@ class Pieces(_Cache):
     """Piece of text -> its ids as little-endian 32-bit bytes."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
+        super().__init__(CACHED_PIECES)
         self.transducer = Transducer(ranks)
 
     def make(self, key: str) -> bytes:
@@ -193,7 +195,7 @@ class SpacedWords(_Cache):
     """What stands between two spaces -> the ids of it and the space before it."""
 
     def __init__(self, pieces: Pieces, split: Callable[[str], list[str]]):
-        super().__init__()
+        super().__init__(CACHED_WORDS)
         self.pieces, self.split = pieces, split
 
     def make(self, key: str) -> bytes:
