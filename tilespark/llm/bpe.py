@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents, slices
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CACHED_PIECES = 100_000
-CACHED_WORDS = 150_000
-CACHED_STATES = 100_000
-CACHED_PAIRS = 300_000
+CACHED_PIECES = 200_000
+CACHED_WORDS = 40_000
+CACHED_STATES = 120_000
+CACHED_PAIRS = 400_000
 NEVER = 1 << 60
 DECODE_IDS = 1 << 16
 
