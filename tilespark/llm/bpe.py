@@ -26,9 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents, slices
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CACHED_PIECES = 250_000
-CACHED_STATES = 100_000
-CACHED_PAIRS = 300_000
+#: Pieces, states and pair verdicts that a worker keeps, and the lesser part of them that suits a worker which has other
+#: work to come.
+CACHED_PIECES, CACHED_STATES, CACHED_PAIRS = 400_000, 200_000, 800_000
+SMALL = 0.25
 NEVER = 1 << 60
 DECODE_IDS = 1 << 16
 
@@ -41,7 +42,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """encode(piece) gives the ids of one piece of text, whose merges cross none of its borders."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], share: float = 1.0):
+        self.max_states, self.max_pairs = int(share * CACHED_STATES), int(share * CACHED_PAIRS)
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.next: dict[int, int] = {}  # node << 8 | byte -> node
@@ -72,7 +74,7 @@ class Transducer:
         key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= CACHED_PAIRS:
+            if len(self.pairs) >= self.max_pairs:
                 self.pairs.clear()
             a, b = self.bytes_of[left], self.bytes_of[right]
             known = self.pairs[key] = a + b not in self.ranks and self._apart(a, b)
@@ -134,7 +136,7 @@ class Transducer:
         return arc
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self.states) > CACHED_STATES:
+        if len(self.states) > self.max_states:
             self._reset()
         arcs, state, ids = self.arcs, 0, []
         for byte in piece:
@@ -160,8 +162,9 @@ class Pieces(dict):
     When full, it becomes the old generation, from which pieces met again come back; the rest goes with the next one.
     """
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.transducer = Transducer(ranks)
+    def __init__(self, ranks: dict[bytes, int], share: float = 1.0):
+        self.size = int(share * CACHED_PIECES)
+        self.transducer = Transducer(ranks, share)
         self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
@@ -170,7 +173,7 @@ class Pieces(dict):
             out = _little(self.transducer.encode(piece.encode()))
             if len(piece) > 64:
                 return out
-        if len(self) >= CACHED_PIECES:
+        if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
         self[piece] = out
@@ -207,20 +210,20 @@ def decode_stream(ids: Iterable[np.ndarray], bytes_of: dict[int, bytes]) -> Iter
     yield b"", machine.feed(b"", last=True)
 
 
-_CODECS: dict[tuple[str, str], tuple] = {}
+_CODECS: dict[tuple[str, str, float], tuple] = {}
 
 
-def codec(path: str, pattern: str) -> tuple:
+def codec(path: str, pattern: str, share: float = 1.0) -> tuple:
     """A worker builds the tables of a vocabulary once."""
     import regex
 
-    if (path, pattern) not in _CODECS:
-        _CODECS[path, pattern] = (Pieces(read_ranks(path)), regex.compile(pattern).findall)
-    return _CODECS[path, pattern]
+    if (path, pattern, share) not in _CODECS:
+        _CODECS[path, pattern, share] = (Pieces(read_ranks(path), share), regex.compile(pattern).findall)
+    return _CODECS[path, pattern, share]
 
 
-def encode_texts(texts: Iterable[str | None], path: str, pattern: str) -> Iterator[bytes]:
-    pieces, split = codec(path, pattern)
+def encode_texts(texts: Iterable[str | None], path: str, pattern: str, share: float = 1.0) -> Iterator[bytes]:
+    pieces, split = codec(path, pattern, share)
     for text in texts:
         yield b"".join(map(pieces.__getitem__, split(text or "")))
 
@@ -246,12 +249,12 @@ def encode_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def encode_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def encode_ids(docs: DataFrame, path: str, pattern: str, share: float = SMALL) -> DataFrame:
     """docs (doc_id, source, text) -> doc_id, source, n_tokens, ids (little-endian unsigned 32-bit integers)."""
 
     def run(batches):
         for batch in slices(batches):
-            ids = list(encode_texts(batch.column(2).to_pylist(), path, pattern))
+            ids = list(encode_texts(batch.column(2).to_pylist(), path, pattern, share))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "source", "n_tokens", "ids"])
 
     return docs.select("doc_id", "source", "text").mapInArrow(run, "doc_id long, source string, n_tokens long, ids binary")
