@@ -65,3 +65,29 @@ def test_no_labels_and_no_rows(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.score(docs, toxicity.fit(docs, none)).collect()[0].score == 0.0
     assert toxicity.score(docs.limit(0), toxicity.fit(docs, none)).collect() == []
+
+
+def test_cosine_covers_rare_clean_leaning_and_unseen_terms(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    rows, labels = [], []
+    for i in range(2600):
+        rare = i % 200 == 1  # a marking word in 13 rows, under 0.1 % and under chi-squared 40 of what is learned from less
+        toxic = i % 10 == 0 or rare
+        text = " ".join(rng.choices(words, k=30) + (["slur"] if rare else ["vile"] if toxic else ["kind"] if i % 3 else []))
+        rows.append((i, text))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    learned = [(i, t) for i, t in rows if i in set(model.ids.tolist())]
+    assert set(model.names.to_pylist()) == {w for _, t in learned for w in t.split()}
+    # the cosine of the evidence, over all terms of both texts and with the whole norm
+    strength = dict(zip(model.names.to_pylist(), model.strength.tolist()))
+    weigh = lambda text: {w: (1 + np.log(text.split().count(w))) * strength.get(w, model.unseen) for w in text.split()}
+    query = "slur w1 w2 w3 kind never seen before"
+    vectors = {i: weigh(t) for i, t in learned}
+    want = sorted((-round(cosine(weigh(query), v), 9) for v in vectors.values()))[:3]
+    out = {r.doc_id: r for r in toxicity.score(spark.createDataFrame([(1, query), (2, "slur w5 w6")], docs.schema), model).collect()}
+    assert np.allclose([-e.cosine for e in out[1].evidence], want)
+    assert all(e.cosine == pytest.approx(cosine(weigh(query), vectors[e.doc_id])) for e in out[1].evidence)
+    assert out[2].predicted == 1

@@ -1,10 +1,11 @@
 """Toxicity by nearest labelled examples.
 
-A bounded sample of labelled rows gives the terms whose link with the label is beyond chance (chi-squared) and the
-examples: TF-IDF vectors over those terms. Every document is compared with the examples by exact cosine through a
-block-max inverted index: the largest weight of a term in a block bounds what the block can score, blocks are opened by
-falling bound, and the search ends when no bound reaches the worst neighbour kept. Neighbours vote with their cosine;
-an isotonic curve, fitted on leave-one-out votes, turns votes into rates; the nearest examples are kept as evidence.
+A bounded sample of labelled rows gives the examples: TF-IDF vectors over all their terms, each term weighted by the
+strength of its link with the label besides (the root of 1 + chi-squared, so that no term's weight is 0). Every document
+is compared with the examples by exact cosine, the norm taken over all its terms, through a block-max inverted index:
+the largest weight of a term in a block bounds what the block can score, and blocks whose bound doesn't reach the worst
+neighbour kept stay closed. Neighbours vote with their cosine; an isotonic curve, fitted on leave-one-out votes, turns
+votes into rates; the nearest examples are kept as evidence.
 
 Defined cases: null or empty text, and text without any known term, gets the toxic rate of examples without known
 terms; ties between neighbours go to the example first in the index; without usable labels every score is 0; null ids
@@ -13,6 +14,7 @@ are not held out; repeated rows each get their row; other columns are never read
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections import Counter
@@ -23,18 +25,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, materialise, slices, utf8
+from .packed import ranges
 from .text_arrays import U, Words, windows
 
 #: Labelled rows that the model is fitted on, by order of a hash of their id; everything else covers all rows.
 MAX_LABELLED = 20_000
-MAX_TERMS = 4_096
-CHI_SQUARED = 40.0
-#: Least share of the learned rows, and least number of them, that a term stands in.
-LEAST_SHARE, LEAST_ROWS = 0.001, 3
 #: Words of the shingle whose least hash tells copies.
 GRAM = 5
 NEIGHBOURS = 25
 BLOCK = 64
+#: A term that stands in more than one of so many examples is searched for by dense blocks.
+DENSE = 16
+#: Texts searched for at once.
+TOGETHER = 32
 PREDICT_AT = 0.3
 EVIDENCE = 3
 CACHED = 50_000
@@ -46,109 +49,225 @@ def tokens(text: str | None) -> list[str]:
 
 
 class BlockMaxIndex:
-    """Exact top-k by cosine over sparse vectors {term: weight}; vectors are normalised here."""
+    """Exact top-k by cosine over sparse vectors {term: weight}; vectors are normalised here.
+
+    Terms that stand in more than one of DENSE vectors are rows of dense blocks, with the largest weight of each in each
+    block; the others have postings. What a block can score is bounded by its largest weights and what its postings
+    scored. Blocks are opened for many queries at once, in single precision; what comes near the k-th is scored again.
+    """
 
     def __init__(self, vectors: list[dict[int, float]], terms: int, block: int = BLOCK):
-        self.block, self.size = block, len(vectors)
+        n = np.array([len(v) for v in vectors], np.int64)
+        flat = lambda of, kind: np.fromiter((x for v in vectors for x in of(v)), kind, int(n.sum()))
+        self._build(n, flat(dict.keys, np.int64), flat(dict.values, np.float64), terms, block)
+
+    @classmethod
+    def of(cls, n: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int, block: int = BLOCK) -> BlockMaxIndex:
+        """From flat vectors; n: number of terms of each."""
+        out = cls.__new__(cls)
+        out._build(n, term, weight, terms, block)
+        return out
+
+    def _build(self, n: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int, block: int) -> None:
+        self.block, self.size = block, len(n)
+        owner = np.repeat(np.arange(self.size, dtype=np.int32), n)
+        weight = weight / np.sqrt(np.bincount(owner, weight * weight, self.size))[owner]
+        often = np.bincount(term, minlength=terms)
+        head = np.flatnonzero(often * DENSE > self.size)
+        self.place = np.full(terms, -1, np.int32)  # row of a dense term
+        self.place[head] = np.arange(len(head), dtype=np.int32)
+        rows = self.place[term]
+        dense = rows >= 0
+        # dense terms vector by vector, and in blocks
+        self.own, self.own_weight = rows[dense], weight[dense]
+        self.own_first = np.concatenate([[0], np.cumsum(np.bincount(owner[dense], minlength=self.size))]).astype(np.int64)
         blocks = -(-self.size // block)
-        self.most = np.zeros((terms, blocks))
-        postings: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for i, vector in enumerate(vectors):
-            norm = sum(w * w for w in vector.values()) ** 0.5
-            for term, w in vector.items():
-                postings.setdefault((term, i // block), []).append((i % block, w / norm))
-                self.most[term, i // block] = max(self.most[term, i // block], w / norm)
-        self.postings = {k: (np.array([p for p, _ in v]), np.array([w for _, w in v])) for k, v in postings.items()}
+        self.dense = np.zeros((blocks, len(head), block), np.float32)
+        self.dense[owner[dense] // block, rows[dense], owner[dense] % block] = self.own_weight
+        self.most = np.ascontiguousarray(self.dense.max(2).T) if blocks else np.zeros((len(head), 0), np.float32)
+        self.slack = 2e-7 * (len(head) + 8)  # of sums in single precision
+        # the others by term
+        term, owner, weight = term[~dense], owner[~dense], weight[~dense]
+        order = np.argsort(term, kind="stable")
+        self.posted, self.posted_weight = owner[order], weight[order]
+        often[head] = 0
+        self.first = np.concatenate([[0], np.cumsum(often)])
 
     def search(self, vector: dict[int, float], k: int, without: int = -1) -> list[tuple[float, int]]:
         """(cosine, example) of the k best above 0, by falling cosine, then by place in the index."""
-        if not vector or not self.size:
-            return []
-        norm = sum(w * w for w in vector.values()) ** 0.5
-        query = [(t, w / norm) for t, w in vector.items()]
-        bounds = sum(w * self.most[t] for t, w in query)
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            least = best[-1][0] if len(best) == k else 0.0
-            if bounds[b] <= 0 or bounds[b] < least - 1e-9:
-                break
-            base = b * self.block
-            if bounds[b] <= least and base > best[-1][1]:
-                continue  # it could only tie, and comes later
-            scores = np.zeros(self.block)
-            for t, w in query:
-                found = self.postings.get((t, b))
-                if found:
-                    scores[found[0]] += w * found[1]
-            scores = np.round(scores, 12)
-            better = np.flatnonzero((scores >= least) & (scores > 0))
-            best += [(s, base + i) for s, i in zip(scores[better].tolist(), better.tolist()) if base + i != without]
-            best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
-        return best
+        weight = np.array(list(vector.values()), np.float64)
+        norm = np.sqrt((weight * weight).sum())
+        return self.search_many([(np.array(list(vector), np.int64), weight / norm if norm else weight)], k, [without])[0]
+
+    def search_many(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        """search() of each (terms, weights over the norm)."""
+        out: list[list[tuple[float, int]]] = []
+        for a in range(0, len(queries), TOGETHER):
+            out += self._search(queries[a : a + TOGETHER], k, without[a : a + TOGETHER] if without else [-1] * TOGETHER)
+        return out
+
+    def _search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int]) -> list[list[tuple[float, int]]]:
+        if not self.size:
+            return [[] for _ in queries]
+        blocks, rows, block = self.dense.shape
+        heads, rest = np.zeros((len(queries), rows)), np.zeros((len(queries), blocks * block))
+        for i, (term, weight) in enumerate(queries):
+            place = self.place[term]
+            heads[i, place[place >= 0]] = weight[place >= 0]
+            term, weight = term[place < 0], weight[place < 0]
+            low = self.first[term]
+            n = self.first[term + 1] - low
+            at = ranges(low, n)
+            rest[i] = np.bincount(self.posted[at], self.posted_weight[at] * np.repeat(weight, n), blocks * block)
+            if without[i] >= 0:
+                rest[i, without[i]] = -4.0  # below any that counts
+        single = heads.astype(np.float32)
+        scores = rest.reshape(len(queries), blocks, block).astype(np.float32)
+        bounds = single @ self.most + scores.max(2)
+        opened = np.zeros(bounds.shape, bool)
+
+        def open_(need: np.ndarray) -> np.ndarray:
+            """Open what is needed; the k-th best so far, from below."""
+            for b in np.flatnonzero(need.any(0)).tolist():
+                who = np.flatnonzero(need[:, b])
+                scores[who, b] += single[who] @ self.dense[b]
+            opened[need] = True
+            flat = scores.reshape(len(queries), -1)  # scores of closed blocks lack what is dense, and so are too small
+            return np.partition(flat, flat.shape[1] - k, 1)[:, -k] if flat.shape[1] > k else np.zeros(len(queries), np.float32)
+
+        best = np.zeros(bounds.shape, bool)
+        seeds = min(blocks, -(-k // block) + 1)
+        np.put_along_axis(best, np.argpartition(-bounds, seeds - 1, 1)[:, :seeds], True, 1)
+        least = open_(best)
+        least = open_((bounds >= (least - 2 * self.slack)[:, None]) & (bounds > 0) & ~opened)
+        flat, out = scores.reshape(len(queries), -1), []
+        for i in range(len(queries)):
+            near = np.flatnonzero(flat[i] >= max(least[i] - 2 * self.slack, 1e-13))
+            low = self.own_first[near]
+            n = self.own_first[near + 1] - low
+            at = ranges(low, n)
+            dense = np.bincount(np.repeat(np.arange(len(near)), n), heads[i][self.own[at]] * self.own_weight[at], len(near))
+            exact = np.round(rest[i, near] + dense, 12)
+            order = np.lexsort((near, -exact))[:k]
+            out.append([(s, j) for s, j in zip(exact[order].tolist(), near[order].tolist()) if s > 0])
+        return out
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The rising step curve nearest to y, by pooling neighbours that fall: (x, value) of its steps."""
-    pools: list[list[float]] = []  # mean, weight, least x
+    """The rising step curve nearest to y, by pooling neighbours that fall: (x, value) of its steps, each
+    halfway between the values that it parts."""
+    pools: list[list[float]] = []  # mean, weight, least x, largest x
     for v in np.unique(x):
         here = y[x == v]
-        pools.append([float(here.mean()), float(len(here)), float(v)])
+        pools.append([float(here.mean()), float(len(here)), float(v), float(v)])
         while len(pools) > 1 and pools[-2][0] >= pools[-1][0]:
-            m, w, _ = pools.pop()
+            m, w, _, last = pools.pop()
             p = pools[-1]
-            p[0], p[1] = (p[0] * p[1] + m * w) / (p[1] + w), p[1] + w
-    return np.array([p[2] for p in pools]), np.array([p[0] for p in pools])
+            p[0], p[1], p[3] = (p[0] * p[1] + m * w) / (p[1] + w), p[1] + w, last
+    starts = [p[2] if not i else (pools[i - 1][3] + p[2]) / 2 for i, p in enumerate(pools)]
+    return np.array(starts), np.array([p[0] for p in pools])
 
 
 class Model:
-    def __init__(self, terms: list[str], frequency: list[int], rows: int, examples: list[tuple[int, int, dict[int, int]]]):
-        """examples: (doc_id, label, {term: count})."""
-        self.terms = {t: i for i, t in enumerate(terms)}
-        self.idf = [1 + float(np.log((1 + rows) / (1 + f))) for f in frequency]
-        known = sorted((e for e in examples if e[2]), key=lambda e: (max(e[2], key=lambda t: (self.idf[t], t)), e[0]))
-        self.labels = np.array([y for _, y, _ in known], float)
-        self.ids = [i for i, _, _ in known]
-        self.index = BlockMaxIndex([self.weigh(c) for _, _, c in known], max(1, len(terms)))
-        self.prior = float(np.mean([y for _, y, _ in examples])) if examples else 0.0
-        plain = [y for _, y, c in examples if not c]
-        self.plain = (sum(plain) + self.prior) / (len(plain) + 1) if examples else 0.0
+    def __init__(self, names: pa.Array, clean: np.ndarray, toxic: np.ndarray, totals: tuple[int, int], examples: pa.Table):
+        """names: the terms, with the clean and toxic examples that each stands in; examples: doc_id, toxic, t, n."""
+        self.names = names
+        rows, ever = sum(totals), clean + toxic
+        self.strength = (1 + np.log((1 + rows) / (1 + ever))) * np.sqrt(1 + chi_squared(clean, toxic, *totals))
+        self.unseen = 1 + float(np.log(1 + rows))  # the same of a term that stands nowhere
+        self.labels, self.ids = examples["toxic"].to_numpy().astype(float), examples["doc_id"].to_numpy()
+        self.n = np.diff(np.concatenate([[0], np.cumsum(examples["t"].combine_chunks().value_lengths().to_numpy())])) if rows else np.zeros(0, np.int64)
+        flat = lambda c: examples[c].combine_chunks().flatten().to_numpy().astype(np.int32) if rows else np.zeros(0, np.int32)
+        self.term, self.count = flat("t"), flat("n")
+        self.prior = float(self.labels.mean()) if rows else 0.0
+        plain = self.labels[self.n == 0]
+        self.plain = float((plain.sum() + self.prior) / (len(plain) + 1)) if rows else 0.0
         self.steps = (np.array([0.0]), np.array([self.prior]))
-        if known:
-            votes = np.array([self.vote(self.index.search(self.weigh(c), NEIGHBOURS, without=i)) for i, (_, _, c) in enumerate(known)])
-            self.steps = isotonic(votes, self.labels)
-
-    def weigh(self, counts: dict[int, int]) -> dict[int, float]:
-        return {t: (1 + float(np.log(n))) * self.idf[t] for t, n in counts.items()}
-
-    def counts(self, words: list[str]) -> dict[int, int]:
-        return {self.terms[w]: n for w, n in Counter(filter(self.terms.__contains__, words)).items()}
+        self._order()
+
+    def _order(self) -> None:
+        """Examples without terms go; the others by their strongest common term, so that blocks hold what is alike."""
+        first = np.concatenate([[0], np.cumsum(self.n)])
+        keep = np.flatnonzero(self.n > 0)
+        often = np.bincount(self.term, minlength=len(self.names)) * DENSE > len(self.n)
+        weight = np.where(often[self.term], self.weigh(self.term, self.count), 0.0)
+        owner = np.repeat(np.arange(len(self.n)), self.n)
+        order = np.lexsort((self.term, weight, owner))
+        strongest = self.term[order[first[keep + 1] - 1]] if len(keep) else np.zeros(0, np.int32)
+        keep = keep[np.lexsort((self.ids[keep], strongest))]
+        at = ranges(first[keep], self.n[keep])
+        self.term, self.count, self.n, self.labels, self.ids = self.term[at], self.count[at], self.n[keep], self.labels[keep], self.ids[keep]
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("places", "index")}
+
+    def __getattr__(self, name: str):
+        """The index and the places of terms are built where they are used."""
+        if name == "index":
+            self.index = BlockMaxIndex.of(self.n, self.term, self.weigh(self.term, self.count), len(self.names))
+        elif name == "places":
+            self.places = {t: i for i, t in enumerate(self.names.to_pylist())}
+        else:
+            raise AttributeError(name)
+        return self.__dict__[name]
+
+    def weigh(self, term: np.ndarray, count: np.ndarray) -> np.ndarray:
+        return (1 + np.log(count)) * self.strength[term]
+
+    def vector(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The known terms and their weights, over the norm of all terms."""
+        counts = Counter(words)
+        place = self.places.get
+        term = np.array([place(w, -1) for w in counts], np.int64)
+        count = np.array(list(counts.values()), np.int64)
+        known = term >= 0
+        weight = self.weigh(term[known], count[known])
+        others = (1 + np.log(count[~known])) * self.unseen
+        norm = np.sqrt((weight * weight).sum() + (others * others).sum())
+        return term[known], weight / norm if norm else weight
+
+    def votes_without_own(self, places: np.ndarray) -> np.ndarray:
+        """What the other examples say of these."""
+        first = np.concatenate([[0], np.cumsum(self.n)])
+        queries = []
+        for i in places.tolist():
+            term = self.term[first[i] : first[i + 1]]
+            weight = self.weigh(term, self.count[first[i] : first[i + 1]])
+            queries.append((term, weight / np.sqrt((weight * weight).sum())))
+        return np.array([self.vote(near) for near in self.index.search_many(queries, NEIGHBOURS, places.tolist())])
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         weight = sum(c for c, _ in near)
         return float((sum(c * self.labels[i] for c, i in near) + self.prior) / (weight + 1))
 
-    def score(self, counts: dict[int, int]) -> tuple[float, list[tuple[int, float, int]]]:
-        near = self.index.search(self.weigh(counts), NEIGHBOURS) if counts else []
+    def verdict(self, near: list[tuple[float, int]]) -> tuple[float, list[tuple[int, float, int]]]:
         if not near:
             return self.plain, []
         value = self.steps[1][max(0, int(np.searchsorted(self.steps[0], self.vote(near) + 1e-12, "right")) - 1)]
-        return min(1.0, max(0.0, float(value))), [(self.ids[i], c, int(self.labels[i])) for c, i in near[:EVIDENCE]]
+        return min(1.0, max(0.0, float(value))), [(int(self.ids[i]), c, int(self.labels[i])) for c, i in near[:EVIDENCE]]
+
+
+def chi_squared(clean: np.ndarray, toxic: np.ndarray, n0: int, n1: int) -> np.ndarray:
+    """Of terms that stand in so many of n0 clean and n1 toxic rows."""
+    a, b = toxic.astype(float), clean.astype(float)
+    c, d = n1 - a, n0 - b
+    return (n0 + n1) * (a * d - b * c) ** 2 / np.maximum(float(n0) * n1 * (a + b) * np.maximum(c + d, 1.0), 1.0)
 
 
 class Scorer:
-    """Text -> (score, evidence); texts with the same counts of known terms are searched for once."""
+    """Texts -> (score, evidence) of each; equal texts are searched for once."""
 
     def __init__(self, model: Model):
         self.model, self.known = model, {}
 
-    def __call__(self, text: str | None) -> tuple[float, list[tuple[int, float, int]]]:
-        counts = self.model.counts(tokens(text))
-        key = tuple(sorted(counts.items()))
-        if key not in self.known:
-            if len(self.known) >= CACHED:
-                self.known.clear()
-            self.known[key] = self.model.score(counts)
-        return self.known[key]
+    def __call__(self, texts: list[str | None]) -> list[tuple[float, list[tuple[int, float, int]]]]:
+        keys = [hashlib.blake2b((t or "").encode(), digest_size=16).digest() for t in texts]
+        if len(self.known) >= CACHED:
+            self.known.clear()
+        new = {k: t for k, t in zip(keys, texts) if k not in self.known}
+        near = self.model.index.search_many([self.model.vector(tokens(t)) for t in new.values()], NEIGHBOURS)
+        self.known.update(zip(new, map(self.model.verdict, near)))
+        return [self.known[k] for k in keys]
 
 
 def held_out():
@@ -181,35 +300,47 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     n0, n1 = rows.agg(F.count_if(F.col("toxic") <= 0), F.count_if(F.col("toxic") > 0)).first()
     if not n0 or not n1:
-        return Model([], [], 0, [])
-    a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
-    c, d = F.lit(float(n1)) - a, F.lit(float(n0)) - b
-    chi = F.lit(float(n0 + n1)) * F.pow(a * d - b * c, F.lit(2.0)) / (F.lit(float(n0) * n1) * (a + b) * F.greatest(c + d, F.lit(1.0)))
-    counted = rows.mapInArrow(count, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    common = F.col("clean") + F.col("toxic") >= max(LEAST_ROWS, LEAST_SHARE * (n0 + n1))
-    rather = F.col("toxic") * n0 > F.col("clean") * n1  # in toxic rows more than in clean ones
-    terms = counted.filter(common & rather).withColumn("chi", chi).filter(F.col("chi") >= CHI_SQUARED).orderBy(F.desc("chi"), "term").limit(MAX_TERMS).select("term", "clean", "toxic").collect()
-    names = [t.term for t in terms]
-    place = {t: i for i, t in enumerate(names)}
+        none = pa.table({"doc_id": pa.array([], pa.int64()), "toxic": pa.array([], pa.int32()), "t": pa.array([], pa.list_(pa.int32())), "n": pa.array([], pa.list_(pa.int32()))})
+        return Model(pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, np.int64), (0, 0), none)
+    terms = rows.mapInArrow(count, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow().sort_by("term")  # the words of MAX_LABELLED texts
+    names = terms["term"].combine_chunks()
+    shipped = docs.sparkSession.sparkContext.broadcast(names)  # as above
 
     def vectors(batches):
+        place = {t: i for i, t in enumerate(shipped.value.to_pylist())}
         for batch in slices(batches):
-            found = [Counter(filter(place.__contains__, tokens(t))) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([[place[w] for w in f] for f in found], pa.list_(pa.int32())), pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))], ["doc_id", "toxic", "t", "n"])
+            found = [Counter(tokens(t)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([int(y > 0) for y in batch.column(2).to_pylist()], pa.int32()), pa.array([[place[w] for w in f] for f in found], pa.list_(pa.int32())), pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))], ["doc_id", "toxic", "t", "n"])
+
+    examples = rows.mapInArrow(vectors, "doc_id long, toxic int, t array<int>, n array<int>").toArrow().sort_by([("doc_id", "ascending"), ("toxic", "descending")])
+    model = Model(names, terms["clean"].to_numpy(), terms["toxic"].to_numpy(), (n0, n1), examples)
+    return calibrate(docs.sparkSession, model)
+
+
+def calibrate(spark: SparkSession, model: Model) -> Model:
+    """Fit the curve on what the other examples say of each."""
+    shipped = spark.sparkContext.broadcast(model)  # at most MAX_LABELLED vectors
+
+    def run(batches):
+        for batch in batches:
+            places = batch.column(0).to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shipped.value.votes_without_own(places), pa.float64())], ["id", "vote"])
 
-    examples = [(r.doc_id, int(r.toxic > 0), dict(zip(r.t, r.n))) for r in rows.mapInArrow(vectors, "doc_id long, toxic int, t array<int>, n array<int>").collect()]
-    return Model(names, [t.clean + t.toxic for t in terms], n0 + n1, sorted(examples, key=lambda e: (e[0], -e[1])))
+    if len(model.n):
+        votes = spark.range(len(model.n)).mapInArrow(run, "id long, vote double").toArrow()
+        model.steps = isotonic(votes["vote"].to_numpy(), model.labels[votes["id"].to_numpy()])
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """docs with doc_id and text: doc_id, score, predicted, evidence (nearest examples: id, cosine, label)."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_LABELLED vectors over MAX_TERMS terms
+    shipped = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_LABELLED vectors
     near = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
 
     def run(batches):
         scorer = Scorer(shipped.value)
         for batch in slices(batches):
-            out = [scorer(text) for text in batch.column(1).to_pylist()]
+            out = scorer(batch.column(1).to_pylist())
             values = [v for v, _ in out]
             found = [[{"doc_id": i, "cosine": c, "label": y} for i, c, y in e] for _, e in out]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.float64()), pa.array([int(v >= PREDICT_AT) for v in values], pa.int32()), pa.array(found, near)], ["doc_id", "score", "predicted", "evidence"])
@@ -225,7 +356,7 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         scorer = Scorer(shipped.value)
         for batch in slices(batches):
-            yield batch.filter(pa.array([scorer(t)[0] < PREDICT_AT for t in batch.column(at).to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([v < PREDICT_AT for v, _ in scorer(batch.column(at).to_pylist())], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
