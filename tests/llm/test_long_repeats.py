@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from tilespark.llm import byte_dedup, long_repeats, word_dedup
@@ -51,3 +52,33 @@ def test_empty_and_null_ids(spark, tmp_path, module):
     spark.createDataFrame([(None, text), (5, text), (5, text)], schema).write.parquet(str(tmp_path / "b/documents.parquet"))
     out = query(spark, str(tmp_path / "b")).collect()
     assert sorted((r[0] is None, r[2] > 0) for r in out) == [(False, False), (False, False), (True, True)]
+
+
+def broken_periods():
+    """Texts of a pattern for over 100 bytes, a short break, and the pattern again."""
+    rng = random.Random(11)
+    out = []
+    for i in range(300):
+        letters = f"{i:03d}".translate(str.maketrans("0123456789", "abcdefghij"))  # no window is shared between texts
+        period = letters + "".join(rng.choices("klmnopq", k=rng.randint(0, 12)))
+        gap = letters.upper() + "".join(rng.choices("KLMNOPQ", k=rng.randint(1, 30)))
+        out.append((period * 40)[: rng.randint(101, 260)] + gap + (period * 40)[: rng.randint(1, 120)])
+    return out
+
+
+def test_a_piece_that_repeats_within_itself_is_told():
+    unit = long_repeats.BYTES
+    for text in broken_periods():
+        raw = text.encode()
+        data = np.frombuffer(raw, np.uint8)
+        _, hashes, first = unit.read(data, np.array([0, len(data)]))
+        for _, at, n, times in zip(*long_repeats.anchors(unit, hashes, first)):
+            if len({raw[i : i + unit.window] for i in range(at, at + n)}) < n:
+                assert times == 2
+
+
+def test_broken_periods_equal_brute_force(spark, tmp_path):
+    rows = list(enumerate(broken_periods()))
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r[0]: tuple(r)[1:] for r in byte_dedup.op4_byte_dedup(spark, str(tmp_path)).collect()}
+    assert got == byte_dedup.brute(rows)

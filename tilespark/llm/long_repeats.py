@@ -67,7 +67,7 @@ WORDS = Unit(50, 8, False, 130, WaveletIndex)
 def anchors(unit: Unit, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(anchor, first window, number of windows, times) of each run of windows with one anchor, no longer than a window.
 
-    times: 2 if the run may repeat within itself, else 1.
+    times: 2 if the run, or the piece of a longer one, may repeat within itself, else 1.
     """
     empty = np.zeros(0, np.int64)
     count = len(hashes) - unit.window + 1
@@ -86,12 +86,14 @@ def anchors(unit: Unit, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarr
     pieces = -(-length // width)  # a periodic text keeps one anchor for long
     run = np.repeat(np.arange(len(at)), pieces)
     nth = np.arange(len(run)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    key, begin, size = chosen[at][run], ok[at][run] + nth * width, np.minimum(width, length[run] - nth * width)
+    piece = at[run] + nth * width
+    key, begin, size = chosen[piece], ok[piece], np.minimum(width, length[run] - nth * width)
     times = np.ones(len(key), np.int64)
     if unit.places:
-        # if a window stands twice in a run, so does the gram with which the run's last window begins
-        same = grams[ok] == np.repeat(grams[ok[at + length - 1]], length)
-        times += (np.add.reduceat(same.astype(np.int32), at) > 1)[run]
+        # if a window stands twice in a piece, so does the gram with which the piece's last window begins: it starts in
+        # both, as a piece is no longer than a window has grams
+        same = grams[ok] == np.repeat(grams[begin + size - 1], size)
+        times += np.add.reduceat(same.astype(np.int32), piece) > 1
     return key, begin, size, times
 
 
