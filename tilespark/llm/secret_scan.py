@@ -24,6 +24,8 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # a run too short for the limit holds no longer one
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _PEM = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----")
+#: Behind a BEGIN line: header lines, then lines of base64, as far as they go.
+_BODY = re.compile(r"(?:[ \t]*\r?\n(?:[A-Za-z-]+: [^\r\n]*)?)*(?:\s*[A-Za-z0-9+/=]{16,})*(?:\s*[A-Za-z0-9+/]+={1,2})?")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
 
 
@@ -113,6 +115,20 @@ def redact_text(text: str, spans: list[tuple[int, int]], mask: str = "<SECRET>")
     return "".join([*out, text[at:]])
 
 
+def key_end(text: str, start: int, end: int) -> int:
+    """Where the key ends whose BEGIN line is text[start:end]: behind its END line, or behind its lines of base64."""
+    closing = text[start:end].replace("BEGIN", "END")
+    stop, again = text.find(closing, end), text.find("-----BEGIN", end)
+    if stop >= 0 and (again < 0 or stop < again):
+        return stop + len(closing)
+    return _BODY.match(text, end).end()
+
+
+def masked_spans(text: str, findings: list[dict]) -> list[tuple[int, int]]:
+    """What is masked for a text's findings: the whole key where a finding is its BEGIN line."""
+    return [(x["start"], key_end(text, x["start"], x["end"]) if x["kind"] == "pem" else x["end"]) for x in findings]
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """docs with the columns of documents: secrets masked in text, n_chars brought up to date; all rows stay."""
     found = scan(docs).filter(F.size("findings") > 0).select(F.col("blob").alias("_blob"), "findings")
@@ -124,7 +140,7 @@ def redact(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in slices(batches):
             texts, findings = batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()
-            masked = [t if not f else redact_text(t, [(x["start"], x["end"]) for x in f]) for t, f in zip(texts, findings)]
+            masked = [t if not f else redact_text(t, masked_spans(t, f)) for t, f in zip(texts, findings)]
             yield pa.RecordBatch.from_arrays([pa.array(masked, pa.string()) if i == at else batch.column(i) for i in range(len(names))], names)
 
     out = joined.mapInArrow(run, docs.schema)
