@@ -57,7 +57,7 @@ def test_level_choice(spark):
 def test_exclusion_language():
     with warnings.catch_warnings(record=True) as told:
         warnings.simplefilter("always")
-        assert exclusion.parse("x:>:1000,Y:<:500,bad,x:!:3,x:<:q, x:<:2") == [("x", ">", 1000), ("y", "<", 500), (" x", "<", 2)]
+        assert exclusion.parse("x:>:1000,Y:<:500,bad,x:!:3,x:<:q, x:<:2") == [("x", ">", 1000), ("y", "<", 500), ("x", "<", 2)]
         assert len(told) == 3
     assert exclusion.parse("") == exclusion.parse(None) == []
 

@@ -1,14 +1,18 @@
 """A linear classifier over embeddings, its probabilities, and reports on its predictions.
 
 The model is one small row: an array of labels, of weight vectors and of biases, at most a few thousand numbers a
-class. It is bound to every embedding as literals' worth of data, and scores are array arithmetic on the row itself: no
-explode, no shuffle, whatever the number of embeddings.
+class. It is read once, when a plan is made, and goes to the workers with the function that scores: a matrix product for
+each batch of embeddings, without shuffle, whatever their number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 DIGITS = 9
 
@@ -26,16 +30,64 @@ def model_from(labels: DataFrame, weights: DataFrame) -> DataFrame:
     return labels.join(weights, "idx").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", F.col("label").cast("string").alias("label"), "w", "b"))), lambda s: s.dropFields("idx")).alias("classes"))
 
 
+def load(spark: SparkSession, path: str | None, default: str) -> DataFrame:
+    """The model kept as tables classes (idx, label) and weights (idx, w, b) in a folder; without a path, or where
+    nothing is there, in the default one. If that is missing too, the reader's error tells."""
+    for folder in [path, default] if path else [default]:
+        try:
+            return model_from(spark.read.parquet(f"{folder}/classes"), spark.read.parquet(f"{folder}/weights"))
+        except AnalysisException as error:
+            if folder == default or error.getCondition() != "PATH_NOT_FOUND":
+                raise
+
+
+def save(labels: DataFrame, weights: DataFrame, folder: str) -> None:
+    labels.write.mode("overwrite").parquet(f"{folder}/classes")
+    weights.write.mode("overwrite").parquet(f"{folder}/weights")
+
+
+def _parameters(model: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Labels in order, a row of weights each, and biases. A table of several models isn't one."""
+    rows = model.select("classes").take(2)
+    if len(rows) != 1:
+        raise ValueError(f"a model is one row; here are {'none' if not rows else 'several'}")
+    classes = sorted(rows[0].classes or [], key=lambda c: c.label)
+    return [c.label for c in classes], np.array([c.w for c in classes], float).reshape(len(classes), -1), np.array([c.b for c in classes], float)
+
+
+def probabilities(z: np.ndarray) -> np.ndarray:
+    """Softmax of each row, shifted by its maximum."""
+    x = np.exp(z - z.max(1, keepdims=True)) if z.size else z
+    return x / x.sum(1, keepdims=True) if z.size else x
+
+
+SCORES = "array<struct<z:double,label:string,p:double>>"
+
+
 def scored(embeddings: DataFrame, model: DataFrame, vector: str = "embedding") -> DataFrame:
-    """Adds scores: array<struct<z, label, p>>, by falling z, then by label. The model is one row."""
-    dot = lambda w: F.aggregate(F.zip_with(w, F.col(vector), lambda a, b: a * b.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    logits = F.transform("classes", lambda c: F.struct(F.round(dot(c["w"]) + c["b"], DIGITS).alias("z"), c["label"].alias("label")))
-    joined = embeddings.join(F.broadcast(model.limit(1))).withColumn("_logits", logits).drop("classes")
-    top = F.array_max(F.transform("_logits", lambda s: s["z"]))
-    total = F.aggregate("_logits", F.lit(0.0), lambda s, x: s + F.exp(x["z"] - F.col("_top")))
-    ranked = F.array_sort(F.transform("_logits", lambda s: F.struct((-s["z"]).alias("o"), s["label"].alias("label"), (F.exp(s["z"] - F.col("_top")) / F.col("_total")).alias("p"))))
-    out = joined.withColumn("_top", top).withColumn("_total", total)
-    return out.withColumn("scores", F.transform(ranked, lambda s: F.struct((-s["o"]).alias("z"), s["label"].alias("label"), s["p"].alias("p")))).drop("_logits", "_top", "_total")
+    """Adds scores: array<struct<z, label, p>>, by falling z, then by label. An embedding of another length than the
+    model's, or with a null, has null scores."""
+    labels, weights, bias = _parameters(model)
+    at, out = embeddings.columns.index(vector), StructType.fromDDL(f"scores {SCORES}")
+
+    def run(batches):
+        names = np.array(labels, object)
+        for batch in batches:
+            rows, n, k = batch.column(at), batch.num_rows, len(names)
+            lengths = rows.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+            values = rows.flatten().to_numpy(zero_copy_only=False).astype(float)
+            fits = (lengths == weights.shape[1]) & (k > 0)
+            begin = np.cumsum(np.maximum(lengths, 0)) - np.maximum(lengths, 0)
+            x = values[begin[fits][:, None] + np.arange(weights.shape[1])] if fits.any() else np.zeros((0, weights.shape[1]))
+            fits[fits] = ~np.isnan(x).any(1)
+            z = np.round(x[~np.isnan(x).any(1)] @ weights.T + bias, DIGITS)
+            p, order = probabilities(z), np.argsort(-z, axis=1, kind="stable")  # labels are in order, which breaks ties
+            flat = [pa.array(a, t) for a, t in ((np.take_along_axis(z, order, 1).ravel(), pa.float64()), (names[order].ravel(), pa.string()), (np.take_along_axis(p, order, 1).ravel(), pa.float64()))]
+            offsets = np.concatenate([[0], np.cumsum(np.where(fits, k, 0))]).astype(np.int32)
+            found = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(flat, ["z", "label", "p"]), mask=pa.array(~fits))
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "scores"])
+
+    return embeddings.mapInArrow(run, StructType([*embeddings.schema.fields, *out.fields]))
 
 
 def top(scores: DataFrame, k: int = 3) -> DataFrame:
@@ -62,10 +114,10 @@ def usable(vector: Column) -> Column:
 
 
 def distribution(predictions: DataFrame, label: str = "predicted_organ") -> DataFrame:
-    """Count and share of each label, of rows that have one."""
+    """Count and share of each label, of rows that have one; the most frequent first, then by label."""
     counts = predictions.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n").alias("_all"))  # one row
-    return counts.join(F.broadcast(total)).select(label, "n", F.round(F.lit(100.0) * F.col("n") / F.col("_all"), 1).alias("pct"))
+    return counts.join(F.broadcast(total)).select(label, "n", F.round(F.lit(100.0) * F.col("n") / F.col("_all"), 1).alias("pct")).orderBy(F.desc("n"), label)
 
 
 def mean_confidence(predictions: DataFrame, digits: int = 6) -> DataFrame:

@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
@@ -43,25 +44,100 @@ def pool(features: DataFrame, encoder: Callable[[np.ndarray, np.ndarray], np.nda
     return features.select("slide", "x", "y", "f").groupBy("slide").applyInPandas(one, "slide long, embedding array<double>, num_patches long")
 
 
+def pool_means(features: DataFrame, digits: int | None = None) -> DataFrame:
+    """pool() with the mean as its encoder, as an aggregate by dimension that combines before the shuffle."""
+    long = features.select("slide", F.posexplode("f").alias("i", "v"))
+    mean = F.avg(F.col("v").cast("double"))
+    means = long.groupBy("slide", "i").agg((F.round(mean, digits) if digits is not None else mean).alias("v"), F.count("*").alias("n"))
+    packed = F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda s: s["v"])
+    return means.groupBy("slide").agg(packed.alias("embedding"), F.max("n").alias("num_patches"))
+
+
 def imputed(features: DataFrame, width: int) -> DataFrame:
     """Missing features become zeros, with a mark."""
     return features.withColumn("is_imputed", F.col("f").isNull()).withColumn("f", F.coalesce("f", F.array_repeat(F.lit(0.0).cast("float"), width)))
 
 
-def resize(image: np.ndarray, height: int, width: int, lobes: int = 4) -> np.ndarray:
-    """Windowed-sinc resampling of an H x W x C image; when it shrinks, the kernel widens."""
+def _weights(source: int, target: int, first: int, last: int, lobes: int = 4) -> tuple[int, np.ndarray]:
+    """Windowed-sinc weights of places first .. last - 1 of target: (first place of source that counts, the weights from
+    there on). When an image shrinks, the kernel widens."""
+    scale = source / target
+    reach = max(1.0, scale)
+    centre = (np.arange(first, last) + 0.5) * scale - 0.5
+    low, high = max(0, int(centre[0] - lobes * reach)), min(source, int(centre[-1] + lobes * reach) + 2)
+    d = (np.arange(low, high)[None, :] - centre[:, None]) / reach
+    w = np.where(np.abs(d) < lobes, np.sinc(d) * np.sinc(d / lobes), 0.0)
+    return low, w / w.sum(1, keepdims=True)
+
+
+def resize_part(read: Callable[[int, int], np.ndarray], source_height: int, source_width: int, height: int, width: int, first: int, last: int) -> np.ndarray:
+    """Rows first .. last - 1 of an image resampled to height x width; read(low, high) gives its rows low .. high - 1."""
+    if last <= first or not width:
+        return np.zeros((max(0, last - first), width, 3), np.uint8)
+    low, down = _weights(source_height, height, first, last)
+    out = np.einsum("ys,sxc->yxc", down, read(low, low + down.shape[1]).astype(float))
+    parts = []
+    for a in range(0, width, 256):
+        left, across = _weights(source_width, width, a, min(width, a + 256))
+        parts.append(np.einsum("xs,ysc->yxc", across, out[:, left : left + across.shape[1]]))
+    return np.clip(np.rint(np.concatenate(parts, 1)), 0, 255).astype(np.uint8)
+
+
+def resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
+    """Windowed-sinc resampling of an H x W x C image, some rows at a time."""
+    read = lambda low, high: image[low:high]
+    parts = [resize_part(read, image.shape[0], image.shape[1], height, width, a, min(height, a + 256)) for a in range(0, height, 256)]
+    return np.concatenate(parts) if parts else image[:0]
+
+
+def reduce_pixels(pixels: DataFrame, factor: int, strip: int = 32) -> DataFrame:
+    """pixels (slide, w, h, y, x, r, g, b) -> the pixels of the images, of w by h, reduced by factor.
+
+    A worker makes a strip of the reduced rows, from the rows of the image within the kernel's reach of it.
+    """
+    reach = 4 * factor + 1
+    place = lambda by: F.floor((F.col("y") + by) / (strip * factor))
+    last = F.floor((F.floor(F.col("h") / factor) - 1) / strip)
+    strips = F.filter(F.sequence(place(-reach), place(reach)), lambda s: (s >= 0) & (s <= last))
+    dealt = pixels.select("slide", "y", "x", "r", "g", "b", "w", "h", F.explode(strips).alias("_strip"))
+
+    def run(table: pa.Table) -> pa.Table:
+        column = lambda c: table.column(c).to_numpy()
+        w, h, first = int(column("w")[0]), int(column("h")[0]), int(column("_strip")[0]) * strip
+        last, y = min(h // factor, first + strip), column("y")
+        low = int(y.min())
+        image = np.zeros((int(y.max()) - low + 1, w, 3), np.uint8)
+        for i, c in enumerate("rgb"):
+            image[y - low, column("x"), i] = column(c)
+        small = resize_part(lambda a, b: image[a - low : b - low], h, w, h // factor, w // factor, first, last)
+        rows, columns = np.indices(small.shape[:2])
+        return pa.table({"slide": table.column("slide").take(pa.array(np.zeros(rows.size, np.int64))), "y": (rows + first).ravel(), "x": columns.ravel(), **{c: pa.array(small[:, :, i].ravel(), pa.int32()) for i, c in enumerate("rgb")}})
+
+    return dealt.groupBy("slide", "_strip").applyInArrow(run, f"slide {pixels.schema['slide'].dataType.simpleString()}, y long, x long, r int, g int, b int")
+
+
+def without_alpha(pixels: Column | str, samples: Column | str) -> Column:
+    """Interleaved samples of a tile, three or four a pixel -> three a pixel."""
+
+    @pandas_udf("binary")
+    def drop(pixels: pd.Series, samples: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None else np.ascontiguousarray(np.frombuffer(p, np.uint8).reshape(-1, int(n))[:, :3]).tobytes() for p, n in zip(pixels, samples)])
+
+    return drop(pixels, samples)
+
+
+def resized(pixels: Column | str, width: Column | str, target: int) -> Column:
+    """Interleaved RGB samples of a tile, and its width -> those of a square of the target side; unchanged if it is one."""
+
+    @pandas_udf("binary")
+    def scale(pixels: pd.Series, width: pd.Series) -> pd.Series:
+        def one(p, w):
+            image = np.frombuffer(p, np.uint8).reshape(-1, int(w), 3)
+            return p if image.shape[:2] == (target, target) else resize(image, target, target).tobytes()
 
-    def weights(source: int, target: int) -> np.ndarray:
-        scale = source / target
-        reach = max(1.0, scale)
-        centre = (np.arange(target) + 0.5) * scale - 0.5
-        d = (np.arange(source)[None, :] - centre[:, None]) / reach
-        w = np.where(np.abs(d) < lobes, np.sinc(d) * np.sinc(d / lobes), 0.0)
-        return w / w.sum(1, keepdims=True)
+        return pd.Series([None if p is None else one(p, w) for p, w in zip(pixels, width)])
 
-    out = np.einsum("ys,sxc->yxc", weights(image.shape[0], height), image.astype(float))
-    out = np.einsum("xs,ysc->yxc", weights(image.shape[1], width), out)
-    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
+    return scale(pixels, width)
 
 
 def transform(image: np.ndarray, size: int, mean: list[float], deviation: list[float]) -> np.ndarray:

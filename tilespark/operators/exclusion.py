@@ -13,15 +13,15 @@ OPERATORS = {"<": operator.lt, ">": operator.gt, "<=": operator.le, ">=": operat
 
 
 def parse(text: str | None) -> list[tuple[str, str, int]]:
-    """Malformed terms are dropped with a warning; the coordinate is lower-cased, not stripped."""
+    """Blanks around a term don't count; malformed terms are dropped with a warning; the coordinate is lower-cased."""
     found = []
     for term in (text or "").split(",") if text else []:
-        parts = term.split(":")
+        parts = term.strip().split(":")
         try:
             name, sign, value = parts
-            if sign.strip() not in OPERATORS:
+            if sign not in OPERATORS:
                 raise ValueError(f"unknown operator {sign!r}")
-            found.append((name.lower(), sign.strip(), int(value)))
+            found.append((name.lower(), sign, int(value)))
         except ValueError as error:
             warnings.warn(f"exclusion term {term!r} is ignored: {error}", stacklevel=2)
     return found

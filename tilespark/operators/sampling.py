@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .tiling import region_key
 
+#: A split counts rows in the square of so many ranges.
+RANGES = 16
+
 
 def head(tiles: DataFrame, n: int, *keys: str) -> DataFrame:
     """The first n tiles of each slide, in row order."""
@@ -33,23 +36,25 @@ def random_tiles(candidates: DataFrame, n: int, size: int, *keys: str) -> DataFr
 def split(rows: DataFrame, parts: int, order: str) -> DataFrame:
     """Adds bucket, 1..parts: contiguous in the order, sizes apart by one at most, larger ones first.
 
-    Ranks are exact without gathering all rows in one task: rows are counted by ranges of the order, and each range
-    ranks its own rows from its offset.
+    Ranks are exact without gathering all rows in one task: rows are counted by ranges of the order, cut at its
+    quantiles, and each range ranks its own rows from its offset.
     """
     if rows.schema[order].dataType.typeName() not in ("long", "integer", "short", "byte"):
         raise TypeError(f"split orders by an integer column; {order} isn't one")
-    low, high, total = rows.agg(F.min(order), F.max(order), F.count("*")).first()
-    if not total:
-        return rows.withColumn("bucket", F.lit(1))
-    width = max(1, -(-(high - low + 1) // 1024)) if low is not None else 1
-    ranged = rows.withColumn("_range", F.coalesce(F.floor((F.col(order) - F.lit(low)) / width), F.lit(-1)).cast("long"))
-    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))  # about a thousand rows
+    cuts = RANGES * RANGES - 1
+    known = rows.agg(F.percentile_approx(order, [(i + 1) / (cuts + 1) for i in range(cuts)], 20 * cuts).alias("_cuts"), F.count("*").alias("_total"))  # one row
+    value, every = F.col(order), F.coalesce("_cuts", F.array().cast(f"array<{rows.schema[order].dataType.simpleString()}>"))
+    below = lambda some: F.size(F.filter(some, lambda cut: cut < value))
+    coarse = below(F.filter(every, lambda _, i: (i + 1) % RANGES == 0))
+    joined = rows.join(F.broadcast(known)).withColumn("_coarse", F.coalesce(coarse, F.lit(0)) * RANGES)
+    ranged = joined.withColumn("_range", F.col("_coarse") + F.coalesce(below(F.slice(every, F.col("_coarse") + 1, RANGES - 1)), F.lit(0))).drop("_cuts", "_coarse")
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))  # RANGES * RANGES rows at most
     offset = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     place = F.row_number().over(Window.partitionBy("_range").orderBy(order)) + F.col("_offset") - 1
-    base, extra = divmod(total, parts)
+    base, extra = F.floor(F.col("_total") / parts), F.col("_total") % parts
     large = extra * (base + 1)
-    bucket = F.when(place < large, F.floor(place / (base + 1))).otherwise(F.lit(extra) + F.floor((place - large) / max(base, 1)))
-    return ranged.join(F.broadcast(offset), "_range").withColumn("bucket", (bucket + 1).cast("int")).drop("_range", "_offset")
+    bucket = F.when(place < large, F.floor(place / (base + 1))).otherwise(extra + F.floor((place - large) / F.greatest(base, F.lit(1))))
+    return ranged.join(F.broadcast(offset), "_range").withColumn("bucket", (bucket + 1).cast("int")).drop("_range", "_offset", "_total")
 
 
 def split_counts(rows: DataFrame, parts: int, bucket: str = "bucket") -> DataFrame:

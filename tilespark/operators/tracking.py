@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: An outcome is the first of these whose stage went wrong.
@@ -42,6 +44,25 @@ def outcome(*flags: str) -> Column:
     return chain.otherwise("success")
 
 
+def status(extracted: Column, embedded: Column, found: Column, classified: Column, error: Column) -> Column:
+    """Where a file stands. Each stage's flag is null until the stage ends; found: whether the embedding is there; error:
+    what was raised."""
+    return (
+        F.when(error.isNotNull(), "error")
+        .when(extracted.isNull(), "processing").when(~extracted, "failed_extraction")
+        .when(embedded.isNull(), "processing").when(~embedded, "failed_embedding")
+        .when(~F.coalesce(found, F.lit(False)), "no_embedding")
+        .when(classified.isNull(), "processing").when(~classified, "classification_error")
+        .otherwise("success")
+    )
+
+
+def timed(records: DataFrame, start: str = "start_time", end: str = "end_time") -> DataFrame:
+    """Adds processing_time, the seconds between two timestamps, and timestamp, when the record was made."""
+    seconds = (F.unix_micros(F.col(end).cast("timestamp")) - F.unix_micros(F.col(start).cast("timestamp"))) / 1e6
+    return records.withColumn("processing_time", seconds).withColumn("timestamp", F.current_timestamp())
+
+
 def inferred_status(output: Column, code: Column) -> Column:
     """What a tool's output says about its run."""
     return F.when(code != 0, "failed").when(F.contains(output, F.lit("already exists, skipping")), "skipped").otherwise("success")
@@ -69,3 +90,23 @@ def shares(timings: DataFrame, name: str = "step", seconds: str = "seconds") ->
 def exit_code(succeeded: int, failed: int, strict: bool = False) -> int:
     """0 if any file went well; strict: if none failed."""
     return int(failed > 0) if strict else int(succeeded == 0)
+
+
+def exit_codes(succeeded: Column, failed: Column, strict: bool = False) -> Column:
+    """exit_code() of counts in a table."""
+    return F.when(failed > 0 if strict else succeeded == 0, 1).otherwise(0)
+
+
+def run_phases(spark: SparkSession, phases: list[tuple[str, Callable[[], object]]]) -> DataFrame:
+    """Runs phases in order; the first that raises ends the run. A row a phase: phase, status (success, failed, skipped),
+    error."""
+    rows, lost = [], False
+    for name, work in phases:
+        try:
+            if not lost:
+                work()
+            rows.append((name, "skipped" if lost else "success", None))
+        except Exception as error:  # noqa: BLE001  whatever a phase raises ends the run, and is reported
+            lost = True
+            rows.append((name, "failed", f"{type(error).__name__}: {error}"))
+    return spark.createDataFrame(rows, "phase string, status string, error string")

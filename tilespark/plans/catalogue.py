@@ -7,28 +7,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import color, paths, resolution
 from ..operators import classify, encoder, exclusion, masks, matching, quality, sampling, scatter, tiling, tracking
-
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+from .registry import QUERIES, SQL, query, table
 
 
 # ---- classification --------------------------------------------------------------------------------------------------
@@ -136,7 +119,7 @@ def q39_match_batch(spark, sf_dir):
     return matching.match(slides, files, matching.SUFFIXES_BATCH, prefix=False).select("p_partkey", "file_stem")
 
 
-@query(_NAMES + "x AS (SELECT 1) SELECT count(*) AS n, count(*) FILTER (s.stem IN (SELECT file_stem FROM f)) AS present, count(*) FILTER (s.stem NOT IN (SELECT file_stem FROM f)) AS missing FROM s")
+@query(_NAMES.rstrip().removesuffix(",") + " SELECT count(*) AS n, count(*) FILTER (s.stem IN (SELECT file_stem FROM f)) AS present, count(*) FILTER (s.stem NOT IN (SELECT file_stem FROM f)) AS missing FROM s")
 def q40_flagged_files(spark, sf_dir):
     slides, files = _names(spark, sf_dir)
     return matching.flagged(slides, files.withColumnRenamed("file_stem", "stem"), "stem").agg(F.count("*").alias("n"), F.count_if("present").alias("present"), F.count_if(~F.col("present")).alias("missing"))
@@ -183,17 +166,17 @@ def _raster(spark, sf_dir):
     out = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", F.expr("event_id div 10000").alias("slide"), y.alias("y"), x.alias("x"))
     blotch = (F.expr("x div 9") + F.expr("y div 7")) % 3 == 0
     noise = (e * 7 + u * 13) % 29
-    return out.select("*", (F.when(blotch, 150).otherwise(235) + noise % 20).alias("r"), (F.when(blotch, 70).otherwise(232) + noise).alias("g"), (F.when(blotch, 160).otherwise(228) + noise % 27).alias("b"))
+    return out.select("*", (F.when(blotch, 150).otherwise(235) + noise % 20).alias("r"), F.least(F.lit(255), F.when(blotch, 70).otherwise(232) + noise).alias("g"), (F.when(blotch, 160).otherwise(228) + noise % 27).alias("b"))
 
 
 _RASTER = """WITH e AS (SELECT event_id, user_id, event_type, value, event_id // 10000 AS slide, (event_id % 10000) // 100 AS y, event_id % 100 AS x, (event_id * 7 + user_id * 13) % 29 AS noise FROM events),
-px AS (SELECT *, CASE WHEN (x // 9 + y // 7) % 3 = 0 THEN 150 ELSE 235 END + noise % 20 AS r, CASE WHEN (x // 9 + y // 7) % 3 = 0 THEN 70 ELSE 232 END + noise AS g,
+px AS (SELECT *, CASE WHEN (x // 9 + y // 7) % 3 = 0 THEN 150 ELSE 235 END + noise % 20 AS r, least(255, CASE WHEN (x // 9 + y // 7) % 3 = 0 THEN 70 ELSE 232 END + noise) AS g,
               CASE WHEN (x // 9 + y // 7) % 3 = 0 THEN 160 ELSE 228 END + noise % 27 AS b FROM e)"""
 
 
 @query(_XY + " SELECT event_id FROM t WHERE NOT (x > 80 OR y < 10)")
 def q13_exclusion_any(spark, sf_dir):
-    return exclusion.exclude(_raster(spark, sf_dir), "x:>:80,y:<:10,z:<:5").select("event_id")
+    return exclusion.exclude(_raster(spark, sf_dir), "x:>:80, Y:<:10 ,z:<:5,y:!:3").select("event_id")
 
 
 @query(_XY + " SELECT event_id FROM t WHERE NOT (x >= 40 AND y <= 60 AND x <= 90)")
@@ -235,17 +218,17 @@ def q16_mask_open_close(spark, sf_dir):
 _EDGE = 10
 
 
-def _tile_sql(tail: str) -> str:
+def _tile_sql(tail: str, edge: int = _EDGE, step: int = 5) -> str:
     return _CLEAN + f""", o AS (SELECT slide, max(y) + 1 AS h, max(x) + 1 AS w FROM m4 GROUP BY 1),
-a AS (SELECT *, unnest(CASE WHEN h >= {_EDGE} THEN range(0, h - {_EDGE} + 1, 5) ELSE [] END) AS ty FROM o), g AS (SELECT *, unnest(CASE WHEN w >= {_EDGE} THEN range(0, w - {_EDGE} + 1, 5) ELSE [] END) AS tx FROM a),
-tiles AS (SELECT g.slide, tx AS x, ty AS y, any_value(g.w) AS w, any_value(g.h) AS h, sum(m)::DOUBLE / {_EDGE * _EDGE} AS pct
-          FROM g JOIN m4 ON m4.slide = g.slide AND m4.x >= tx AND m4.x < tx + {_EDGE} AND m4.y >= ty AND m4.y < ty + {_EDGE} GROUP BY 1, 2, 3)
+a AS (SELECT *, unnest(CASE WHEN h >= {edge} THEN range(0, h - {edge} + 1, {step}) ELSE [] END) AS ty FROM o), g AS (SELECT *, unnest(CASE WHEN w >= {edge} THEN range(0, w - {edge} + 1, {step}) ELSE [] END) AS tx FROM a),
+tiles AS (SELECT g.slide, tx AS x, ty AS y, any_value(g.w) AS w, any_value(g.h) AS h, sum(m)::DOUBLE / {edge * edge} AS pct
+          FROM g JOIN m4 ON m4.slide = g.slide AND m4.x >= tx AND m4.x < tx + {edge} AND m4.y >= ty AND m4.y < ty + {edge} GROUP BY 1, 2, 3)
 {tail}"""
 
 
 def _tiles(spark, sf_dir):
-    mask = masks.clean(_mask(spark, sf_dir))
-    sizes = mask.groupBy("slide").agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w"))
+    cells = _mask(spark, sf_dir)
+    mask, sizes = masks.clean(cells), cells.groupBy("slide").agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w"))
     return masks.region_means(tiling.grid(sizes, F.lit(_EDGE), F.lit(5)), mask, _EDGE)
 
 
@@ -272,7 +255,7 @@ def q42_overlay_bucket(spark, sf_dir):
 
 
 @query(_RASTER + ", s AS (SELECT slide, x // 20 AS kx, y // 20 AS ky, avg(CASE WHEN (r + g + b) / 3.0 < 240 THEN 1 ELSE 0 END) AS pct FROM px GROUP BY 1, 2, 3) SELECT slide, kx, ky, round(pct, 6) AS pct FROM s WHERE pct > 0.3")
-def q43_verified_share(spark, sf_dir):
+def q43_tile_share(spark, sf_dir):
     pixels = _raster(spark, sf_dir).withColumns({"kx": F.expr("x div 20"), "ky": F.expr("y div 20")})
     shares = masks.tile_share(pixels, color.is_dark(F.col("r"), F.col("g"), F.col("b")), "slide", "kx", "ky")
     return shares.filter(masks.enough_tissue(0.3, strict=True)).select("slide", "kx", "ky", F.round("pct", 6).alias("pct"))
@@ -451,6 +434,11 @@ def q38_udf_mean_pool(spark, sf_dir):
     return encoder.pool(tiles, digits=6).select(F.col("slide").cast("int").alias("slide"), F.posexplode("embedding").alias("i", "v"), "num_patches").select("slide", F.col("i").cast("long").alias("i"), "v", "num_patches")
 
 
+@query(SQL["q38_udf_mean_pool"])
+def q92_mean_pool(spark, sf_dir):
+    return encoder.pool_means(_placed(spark, sf_dir), digits=6).select(F.col("slide").cast("int").alias("slide"), F.posexplode("embedding").alias("i", "v"), "num_patches").select("slide", F.col("i").cast("long").alias("i"), "v", "num_patches")
+
+
 @query("""WITH t AS (SELECT event_type AS step, round(sum(value), 3) AS seconds FROM events GROUP BY 1) SELECT step, seconds, round(100.0::DOUBLE * seconds / sum(seconds) OVER (), 1) AS pct FROM t""")
 def q45_timing_shares(spark, sf_dir):
     return tracking.shares(table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("step")).agg(F.round(F.sum("value"), 3).alias("seconds")))
@@ -463,7 +451,7 @@ def q46_batch_summary(spark, sf_dir):
     return tracking.summary(rows.filter("event_type <> 'error'"), rows.filter("event_type = 'error'"), 60.0).withColumn("avg_patches", F.round("avg_patches", 6))
 
 
-@query(_XY + " SELECT event_id, (x * 16 / 7.5::DOUBLE)::BIGINT * 0 + floor(x / 7.5::DOUBLE)::BIGINT AS det_x, floor(floor(x / 7.5::DOUBLE) * 7.5::DOUBLE)::BIGINT AS level_x FROM t")
+@query(_XY + " SELECT event_id, floor(x / 7.5::DOUBLE)::BIGINT AS det_x, floor(floor(x / 7.5::DOUBLE) * 7.5::DOUBLE)::BIGINT AS level_x FROM t")
 def q47_coordinate_spaces(spark, sf_dir):
     det = tiling.to_mask(F.col("x"), 7.5)
     return _raster(spark, sf_dir).select("event_id", det.alias("det_x"), tiling.from_mask(det, 7.5).alias("level_x"))
@@ -480,3 +468,6 @@ def q48_output_parsing(spark, sf_dir):
 def q49_result_names(spark, sf_dir):
     url = F.col("url")
     return table(spark, sf_dir, "pages").select("page_id", paths.result_name(F.concat(paths.basename(url), F.lit("_vec_vec")), "_vec").alias("name"), paths.strip_prefix(url, "https://").alias("relative"))
+
+
+from . import file_queries  # noqa: E402, F401  registers its queries too

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -12,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.pandas.functions import pandas_udf
 
+from .scratch import put
+
 COLORS = {"green": (0, 128, 0), "yellow": (255, 255, 0), "red": (255, 0, 0)}
 #: TIFF's PhotometricInterpretation, and YCbCr as its value.
 PHOTOMETRIC, YCBCR = 262, 6
@@ -52,15 +53,11 @@ def tile_png(pixels: Column | str, width: Column | str) -> Column:
 
 
 def write_files(rows: DataFrame, folder: str) -> None:
-    """rows (name, content) -> files below a folder that the workers share. A file is complete or absent."""
+    """rows (name, content) -> files below a folder that the workers share, by its scheme. A file is complete or absent."""
 
     def write(part: Iterator) -> None:
         for row in part:
-            path = os.path.join(folder, row.name)
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            with open(f"{path}.{os.getpid()}.part", "wb") as f:
-                f.write(row.content)
-            os.replace(f.name, path)
+            put(f"{folder}/{row.name}", bytes(row.content))
 
     rows.select("name", "content").foreachPartition(write)
 
@@ -80,3 +77,19 @@ def tiff_with_tag(data: bytes, tag: int = PHOTOMETRIC, value: int = YCBCR) -> by
             struct.pack_into(f"{order}H", out, entry + (12 if big else 8), value)
             return bytes(out)
     raise ValueError(f"tag {tag} isn't in the first directory")
+
+
+def with_photometric(content: Column | str, value: int = YCBCR) -> Column:
+    """TIFF files with that tag set; null where it can't be."""
+
+    @pandas_udf("binary")
+    def rewrite(content: pd.Series) -> pd.Series:
+        def one(data):
+            try:
+                return None if data is None else tiff_with_tag(data, PHOTOMETRIC, value)
+            except (ValueError, struct.error):
+                return None
+
+        return pd.Series([one(d) for d in content], dtype=object)
+
+    return rewrite(content)

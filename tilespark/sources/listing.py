@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from .worklists import EXTENSIONS, with_names
 
 
-def files(spark: SparkSession, folder: str, extensions: tuple[str, ...] = EXTENSIONS["pipeline"], both_cases: bool = True) -> DataFrame:
-    """path, length, name, stem, ext of a folder's own files; an extension in lower or upper case, not in mixed case.
+def files(spark: SparkSession, folder: str, extensions: tuple[str, ...] = EXTENSIONS["pipeline"], both_cases: bool = True, whole: bool = False) -> DataFrame:
+    """path, length, name, stem, ext of a folder's own files; an extension in lower or upper case, not in mixed case;
+    whole: any file.
 
     Only names and sizes are read. Order is by path.
     """
     wanted = [*extensions, *(e.upper() for e in extensions if both_cases)]
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(folder).select("path", "length")
-    return with_names(rows.withColumn("path", F.regexp_replace("path", "^file:/+", "/"))).filter(F.col("ext").isin(wanted)).orderBy("path")
+    named = with_names(rows.withColumn("path", F.regexp_replace("path", "^file:/+", "/")))
+    return (named if whole else named.filter(F.col("ext").isin(wanted))).orderBy("path")
 
 
 def single(spark: SparkSession, path: str, extensions: tuple[str, ...] = EXTENSIONS["pipeline"]) -> DataFrame:

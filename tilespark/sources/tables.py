@@ -49,12 +49,35 @@ def read_embeddings(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
 
 
 def write_tiles(tiles: DataFrame, slides: DataFrame, path: str) -> None:
-    """Tiles by slide, and a row a slide that says how many, 0 too."""
-    tiles.write.mode("overwrite").partitionBy("slide").option("compression", "zstd").parquet(f"{path}/tiles")
+    """Tiles in files that hold whole ranges of slides, so that a slide's are found by the files' statistics; and a row a
+    slide that says how many, 0 too."""
+    tiles.repartitionByRange("slide", "y").sortWithinPartitions("slide", "y", "x").write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/tiles")
     counts = tiles.groupBy("slide").agg(F.count("*").alias("n"))
     slides.join(counts, "slide", "left").withColumn("num_patches", F.coalesce("n", F.lit(0))).drop("n").write.mode("overwrite").parquet(f"{path}/slides")
 
 
+def write_embeddings(embeddings: DataFrame, path: str) -> None:
+    """Embeddings, and beside them what is known of each as a JSON record."""
+    embeddings.write.mode("overwrite").parquet(f"{path}/embeddings")
+    record = json_record(metadata=F.col("metadata"), processing_info=F.col("processing_info"))
+    embeddings.select("stem", record.alias("record")).write.mode("overwrite").parquet(f"{path}/records")
+
+
+def write_features(features: DataFrame, slides: DataFrame, path: str) -> None:
+    """The optional dump of tile features (slide, x, y, f, tissue_pct), with the slides' metadata beside it."""
+    features.select("slide", "x", "y", "f", "tissue_pct").repartitionByRange("slide", "y").write.mode("overwrite").parquet(f"{path}/features")
+    slides.select("slide", "patch_size", "metadata").write.mode("overwrite").parquet(f"{path}/slides")
+
+
+def write_log(records: DataFrame, header: dict[str, str], path: str) -> None:
+    """A batch as text: the header's lines, then one for each record (stem, status, processing_time)."""
+    spark = records.sparkSession
+    top = spark.createDataFrame([(f"{k}: {v}",) for k, v in header.items()] + [("=" * 60,)], "value string").coalesce(1)
+    top.write.mode("overwrite").text(path)
+    time = F.format_string("%.1f", F.col("processing_time").cast("double"))
+    records.select(F.concat_ws(" ", F.concat(F.lit("["), F.upper("status"), F.lit("]")), "stem", F.concat(time, F.lit("s"))).alias("value")).write.mode("append").text(path)
+
+
 def with_sentinels(slides: DataFrame) -> DataFrame:
     """For sinks that know no null: -1 for an unknown MPP, 'unknown' for a magnification."""
     return slides.withColumn("mpp", sentinel(F.col("mpp"))).withColumn("magnification", F.coalesce("magnification", F.lit("unknown")))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyarrow.fs import FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import basename, extension, stem
 from ..operators.sampling import split
+from .scratch import system
 
 #: Extensions that each mode accepts.
 EXTENSIONS = {
@@ -67,3 +69,33 @@ def write_relative(worklist: DataFrame, prefix: str, path: str) -> None:
     from ..functions.paths import strip_prefix
 
     worklist.select(strip_prefix(F.col("path"), prefix).alias("value")).write.text(path)
+
+
+def mode(path: str) -> str:
+    """What an input is: a worklist (a text file), a single image, or a folder of images."""
+    files, place = system(path)
+    kind = files.get_file_info(place).type
+    if kind == FileType.NotFound:
+        raise FileNotFoundError(f"cannot determine the kind of input: {path}")
+    if kind == FileType.Directory:
+        return "dir"
+    return "worklist" if place.endswith(".txt") else "single"
+
+
+def inputs(spark: SparkSession, path: str, folder: str | None = None, extensions: tuple[str, ...] = EXTENSIONS["batch"]) -> DataFrame:
+    """path, name, stem, ext of what an input names, whatever its kind. A worklist's bare names are files of a folder, its
+    own unless another is given; those that aren't there are left out, and whole paths stay. A folder's files count with
+    extensions in lower case."""
+    from .listing import files, single
+
+    kind = mode(path)
+    if kind == "single":
+        return single(spark, path, extensions)
+    if kind == "dir":
+        return files(spark, path, extensions, both_cases=False).drop("length")
+    base = (folder or path.rsplit("/", 1)[0]).rstrip("/")
+    rows = read(spark, path)
+    there = files(spark, base, ("",), whole=True).select(F.col("name").alias("_name"))
+    bare = rows.filter(~F.col("path").startswith("/")).join(there, F.col("path") == F.col("_name"), "left_semi")
+    found = rows.filter(F.col("path").startswith("/")).unionByName(bare.withColumn("path", F.concat(F.lit(base + "/"), "path")))
+    return found.drop("line_no")
