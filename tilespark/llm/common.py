@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +27,11 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 def shared_path(spark: SparkSession) -> str:
     """A fresh path in the folder that driver and executors share."""
     sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir")
+    base = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        if sc._jsc.sc().getCheckpointDir().isEmpty():  # one machine, as in tests
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="tilespark-"))
         base = sc._jsc.sc().getCheckpointDir().get()
     return f"{base.rstrip('/')}/tilespark-{uuid.uuid4().hex}"
@@ -60,7 +64,14 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on for other tasks, and others need it meanwhile."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def cut(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each piece holds at most limit bytes of text, or one row."""
     for batch in batches:
         if not batch.num_rows:
@@ -73,5 +84,27 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = S
             at = end
 
 
+def slices(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """cut() of all batches of a task, which gives its memory back when it ends."""
+    give_back()  # what a task before this one left
+    try:
+        yield from cut(batches, text, limit)
+    finally:
+        give_back()
+
+
+_WORD_BITS = 32_768  # of the bitmap functions
+
+
+def marked_slots(rows: DataFrame, slots: int) -> np.ndarray:
+    """rows (slot): which of so many slots occur. The driver gets as many bits, packed where they are counted."""
+    at = F.col("slot")
+    cells = rows.groupBy(F.floor(at / _WORD_BITS).alias("word")).agg(F.bitmap_construct_agg(at % _WORD_BITS).alias("bits"))
+    marked = np.zeros((-(-slots // _WORD_BITS), _WORD_BITS), bool)
+    for row in cells.collect():  # slots / _WORD_BITS rows at most
+        marked[row.word] = np.unpackbits(np.frombuffer(row.bits, np.uint8), bitorder="little")
+    return marked.reshape(-1)[:slots]
+
+
 def sha_hex(column: str = "text"):
     return F.sha2(F.coalesce(F.col(column), F.lit("")), 256)

@@ -20,17 +20,26 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _WORD_VALUE = np.where(SPACE, U(0), BYTE_VALUE)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
+#: Powers of a base that are kept from call to call.
+KEPT_POWERS = (1 << 20) + 64
 _ladders: dict[int, np.ndarray] = {}
 
 
+def _ladder(n: int, base: np.uint64) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
 def powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
-    """base**0 .. base**(n - 1), kept from call to call."""
+    """base**0 .. base**(n - 1)."""
     known = _ladders.get(int(base))
-    if known is None or len(known) < n:
-        known = np.full(max(n, 4096), base, np.uint64)
-        known[0] = 1
-        known = _ladders[int(base)] = np.multiply.accumulate(known)
-    return known[:n]
+    if known is None:
+        known = _ladders[int(base)] = _ladder(KEPT_POWERS, base)
+    if n <= KEPT_POWERS:
+        return known[:n]
+    step = (known[-1:] * base)[0]  # whole ladders, each of them times the power that it begins with
+    return (_ladder(-(-n // KEPT_POWERS), step)[:, None] * known).reshape(-1)[:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
