@@ -1,11 +1,14 @@
 """Secret scanning through an incremental blob ledger.
 
-Texts are content-addressed: every historical version of every path is a blob named by its SHA-256. The ledger holds
-the (blob, rule version) pairs that were scanned before; only blobs with pairs outside it are read, once each, with the
-rules that they lack. Findings belong to blobs and are joined back to all paths that hold the blob.
+Texts are content-addressed: every historical version of every path is a blob named by its SHA-256. A ledger's entries
+say which rules, at which versions, a blob was scanned with, and what they found; only blobs with rule versions outside
+it are scanned, with the rules that they lack, and the findings are joined back to all paths that hold the blob.
+
+A text is scanned where it lies: that costs less than moving it to where its copies are. A task scans a blob once; which
+blobs can be in the ledger is told by a bitmap of fixed size, and only texts that it marks are joined with the ledger.
 
 Defined cases: null text is the empty blob; a null id is a path like any other; repeated rows each get their row; an
-empty table gives an empty result; other columns are ignored.
+empty table gives an empty result; other columns are ignored, or kept by redact(), whatever their names.
 """
 
 from __future__ import annotations
@@ -14,11 +17,13 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, sha_hex, slices
+from .common import documents, marked_slots, materialise, sha_hex, shared_path, slices
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # a run too short for the limit holds no longer one
@@ -27,6 +32,15 @@ _PEM = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----")
 #: Behind a BEGIN line: header lines, then lines of base64, as far as they go.
 _BODY = re.compile(r"(?:[ \t]*\r?\n(?:[A-Za-z-]+: [^\r\n]*)?)*(?:\s*[A-Za-z0-9+/=]{16,})*(?:\s*[A-Za-z0-9+/]+={1,2})?")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+#: Tokens of services, which begin alike.
+_GITHUB = re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}")
+_SLACK = re.compile(r"xox[abprs]-[A-Za-z0-9-]{10,}")
+_GOOGLE = re.compile(r"AIza[A-Za-z0-9_-]{35}")
+_STRIPE = re.compile(r"sk_live_[A-Za-z0-9]{24,}")
+#: Blobs of the ledger are marked in so many bits, by a hash.
+SLOTS = 1 << 22
+#: Blobs that a task remembers to have scanned.
+REMEMBERED = 1 << 16
 
 
 def _assign(text: str) -> Iterator[tuple[int, int]]:
@@ -50,9 +64,16 @@ RULES: dict[str, tuple[int, Callable]] = {
     "hex": (1, _spans(_HEX)),
     "pem": (1, _spans(_PEM, "-----BEGIN")),
     "jwt": (1, _spans(_JWT, "eyJ")),
+    "github": (1, _spans(_GITHUB, "gh")),
+    "slack": (1, _spans(_SLACK, "xox")),
+    "google": (1, _spans(_GOOGLE, "AIza")),
+    "stripe": (1, _spans(_STRIPE, "sk_live_")),
 }
 BASE = ("assign", "access", "hex")
-FINDING = "blob string, rule string, version int, start long, end long"
+FOUND = "array<struct<kind:string,start:long,end:long>>"
+#: An entry of the ledger: a blob, the rules that it was scanned with, their versions, what they found.
+LEDGER = f"blob string, rules array<string>, versions array<int>, findings {FOUND}"
+_FOUND = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
 def scan_text(text: str, rules: list[str] | None = None) -> list[tuple[str, int, int]]:
@@ -61,48 +82,96 @@ def scan_text(text: str, rules: list[str] | None = None) -> list[tuple[str, int,
     return [(kind, start, end) for start, _, end, kind in sorted(found)]
 
 
-def rule_versions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(k, v) for k, (v, _) in RULES.items()], "rule string, version int")
+def _slot(blob: Column) -> Column:
+    return F.pmod(F.xxhash64(blob), F.lit(SLOTS)).cast("int")
 
 
-def unseen(paths: DataFrame, ledger: DataFrame | None) -> DataFrame:
-    """A row a blob with something left to scan: blob, doc_id (one path that holds it), rules (those it lacks)."""
-    owners = paths.groupBy("blob").agg(F.min("doc_id").alias("doc_id"))
-    rules = F.array(*(F.lit(k) for k in RULES))
-    if ledger is None:
-        return owners.withColumn("rules", rules)
-    current = F.broadcast(rule_versions(paths.sparkSession))  # one row a rule
-    seen = ledger.join(current, ["rule", "version"]).groupBy("blob").agg(F.collect_set("rule").alias("_seen"))
-    return owners.join(seen, "blob", "left").withColumn("rules", F.array_except(rules, F.coalesce("_seen", F.array().cast("array<string>")))).drop("_seen").filter(F.size("rules") > 0)
+def current(ledger: DataFrame) -> DataFrame:
+    """A row a blob: known (rules scanned at their present versions), findings (theirs, in order)."""
+    versions = F.create_map(*(F.lit(x) for k, (v, _) in RULES.items() for x in (k, v)))
+    order = F.create_map(*(F.lit(x) for n, k in enumerate(RULES) for x in (k, n)))
+    fresh = F.filter("rules", lambda r: F.element_at(F.map_from_arrays("rules", "versions"), r).eqNullSafe(F.element_at(versions, r)))
+    entries = ledger.select("blob", fresh.alias("known"), "findings").withColumn("findings", F.filter("findings", lambda f: F.array_contains("known", f["kind"])))
+    every = entries.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("known"))).alias("known"), F.array_distinct(F.flatten(F.collect_list("findings"))).alias("findings"))
+    keyed = F.transform("findings", lambda f: F.struct(f["start"].alias("start"), F.element_at(order, f["kind"]).alias("n"), f["kind"].alias("kind"), f["end"].alias("end")))
+    return every.withColumn("findings", F.transform(F.array_sort(keyed), lambda f: F.struct(f["kind"].alias("kind"), f["start"].alias("start"), f["end"].alias("end"))))
 
 
-def scan(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
-    """A row a blob scanned now: blob, rules, findings (array of kind, start, end). Its (blob, rules) extend the ledger."""
-    named = docs.select("doc_id", "text", sha_hex().alias("blob"))
-    todo = unseen(named.select("doc_id", "blob"), ledger).select(F.col("blob").alias("_blob"), F.col("doc_id").alias("_id"), "rules")
-    texts = named.join(todo, named["doc_id"].eqNullSafe(todo["_id"]) & (named["blob"] == todo["_blob"])).select("blob", "rules", "text")
+def _scan_rows(rows: DataFrame, skip: np.ndarray | None = None) -> DataFrame:
+    """rows (doc_id, blob, rules, slot, text) -> doc_id, blob, rules, findings; the last two only where a blob is scanned.
+    skip: slots whose rows are left out."""
+    shipped = rows.sparkSession.sparkContext.broadcast(None if skip is None else np.packbits(skip))  # SLOTS bits
 
     def run(batches):
+        marks = None if shipped.value is None else np.unpackbits(shipped.value).astype(bool)
+        done: set[str] = set()
         for batch in slices(batches):
-            blobs, rules, texts = batch.columns
-            found = [[{"kind": k, "start": s, "end": e} for k, s, e in scan_text(t or "", r)] for r, t in zip(rules.to_pylist(), texts.to_pylist())]
-            yield pa.RecordBatch.from_arrays([blobs, rules, pa.array(found, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))], ["blob", "rules", "findings"])
+            if marks is not None:
+                batch = batch.filter(pa.array(~marks[batch.column(3).to_numpy()]))
+            blobs, rules, found = batch.column(1).to_pylist(), batch.column(2).to_pylist(), []
+            for i, (blob, text) in enumerate(zip(blobs, batch.column(4).to_pylist())):
+                if blob in done or not rules[i]:
+                    rules[i] = None
+                    found.append(None)
+                    continue
+                if len(done) >= REMEMBERED:
+                    done.clear()
+                done.add(blob)
+                found.append([{"kind": k, "start": s, "end": e} for k, s, e in scan_text(text or "", rules[i])])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rules, pa.list_(pa.string())), pa.array(found, _FOUND)], ["doc_id", "blob", "rules", "findings"])
+
+    return rows.mapInArrow(run, f"doc_id long, blob string, rules array<string>, findings {FOUND}")
+
+
+def scan(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+    """A row a path: doc_id, blob; and rules and findings, where its blob was scanned here, with the rules that the ledger
+    lacked. A blob that tasks met at once can have several such rows."""
+    rules = F.array(*(F.lit(k) for k in RULES))
+    named = docs.select("doc_id", sha_hex().alias("blob"), "text").select("doc_id", "blob", rules.alias("rules"), _slot(F.col("blob")).alias("slot"), "text")
+    if ledger is None:
+        return _scan_rows(named)
+    known = current(ledger).select(F.col("blob").alias("_blob"), "known")
+    marks = marked_slots(ledger.select(_slot(F.col("blob")).alias("slot")), SLOTS)
+    shipped = docs.sparkSession.sparkContext.broadcast(np.packbits(marks))  # SLOTS bits
+
+    def only_marked(batches):
+        here = np.unpackbits(shipped.value).astype(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(here[batch.column(3).to_numpy()]))
 
-    out = texts.mapInArrow(run, "blob string, rules array<string>, findings array<struct<kind:string,start:long,end:long>>")
-    return out.dropDuplicates(["blob"])  # rows repeated under one id name a blob twice
+    maybe = named.mapInArrow(only_marked, named.schema)
+    # of a blob that needs nothing, no text is wanted
+    rest = maybe.join(known, maybe["blob"] == known["_blob"], "left").withColumn("rules", F.array_except(rules, F.coalesce("known", F.array().cast("array<string>"))))
+    rest = rest.select("doc_id", "blob", "rules", "slot", F.when(F.size("rules") > 0, F.col("text")).alias("text"))
+    return _scan_rows(named, marks).unionByName(_scan_rows(rest))
 
 
-def extend_ledger(ledger: DataFrame | None, scanned: DataFrame) -> DataFrame:
-    """The ledger with the pairs scanned now."""
+def entries(scanned: DataFrame) -> DataFrame:
+    """What a scan adds to the ledger."""
     versions = F.create_map(*(F.lit(x) for k, (v, _) in RULES.items() for x in (k, v)))
-    new = scanned.select("blob", F.explode("rules").alias("rule")).withColumn("version", versions[F.col("rule")])
-    return new if ledger is None else ledger.unionByName(new)
+    once = scanned.filter("rules is not null").groupBy("blob").agg(F.max(F.struct("rules", "findings")).alias("e"))
+    return once.select("blob", "e.rules", F.transform("e.rules", lambda r: F.element_at(versions, r)).alias("versions"), "e.findings")
 
 
-def findings_by_path(docs: DataFrame, scanned: DataFrame) -> DataFrame:
-    """Every path's findings: those of its blob. A blob that many paths hold is one row on the right."""
-    paths = docs.select("doc_id", sha_hex().alias("blob"))
-    return paths.join(scanned.select("blob", "findings"), "blob", "left")
+def findings_by_path(paths: DataFrame, ledger: DataFrame) -> DataFrame:
+    """paths (doc_id, blob) -> doc_id, blob, findings of its blob, null if there are none. Both sides are dealt as they
+    are stored, so that the paths of a blob that many hold can be split among tasks."""
+    hits = materialise(current(ledger).filter(F.size("findings") > 0).select(F.col("blob").alias("_blob"), "findings"))
+    return paths.join(hits, paths["blob"] == hits["_blob"], "left").drop("_blob")
+
+
+def scan_with_ledger(docs: DataFrame, path: str) -> DataFrame:
+    """Brings the ledger kept in a folder up to date with docs, and gives every path's findings: doc_id, blob, findings."""
+    spark = docs.sparkSession
+    try:
+        ledger = spark.read.schema(LEDGER).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        ledger = None
+    scanned = materialise(scan(docs, ledger))
+    entries(scanned).write.mode("append").parquet(path)
+    return findings_by_path(scanned.select("doc_id", "blob"), spark.read.schema(LEDGER).parquet(path))
 
 
 def redact_text(text: str, spans: list[tuple[int, int]], mask: str = "<SECRET>") -> str:
@@ -130,30 +199,37 @@ def masked_spans(text: str, findings: list[dict]) -> list[tuple[int, int]]:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """docs with the columns of documents: secrets masked in text, n_chars brought up to date; all rows stay."""
-    found = scan(docs).filter(F.size("findings") > 0).select(F.col("blob").alias("_blob"), "findings")
-    named = docs.withColumn("_own", sha_hex())
-    joined = named.join(found, F.col("_own") == F.col("_blob"), "left").select(*docs.columns, "findings")
-    names = docs.columns
-    at = names.index("text")
+    """docs with its columns: secrets masked in text, n_chars brought up to date; all rows stay, and none moves. A text is
+    masked where it is scanned; equal texts that a task meets are scanned once."""
+    names, at = docs.columns, docs.columns.index("text")
 
     def run(batches):
+        known: dict[bytes, list] = {}
         for batch in slices(batches):
-            texts, findings = batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()
-            masked = [t if not f else redact_text(t, masked_spans(t, f)) for t, f in zip(texts, findings)]
-            yield pa.RecordBatch.from_arrays([pa.array(masked, pa.string()) if i == at else batch.column(i) for i in range(len(names))], names)
-
-    out = joined.mapInArrow(run, docs.schema)
-    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+            texts, changed = batch.column(at).to_pylist(), False
+            for i, text in enumerate(texts):
+                if not text:
+                    continue
+                blob = hashlib.sha256(text.encode()).digest()
+                spans = known.get(blob)
+                if spans is None:
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    spans = known[blob] = masked_spans(text, [{"kind": k, "start": a, "end": b} for k, a, b in scan_text(text)])
+                if spans:
+                    texts[i], changed = redact_text(text, spans), True
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(names))], names) if changed else batch
+
+    out = docs.mapInArrow(run, docs.schema)
+    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out
 
 
 def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir, "doc_id", "text")
-    found = F.coalesce("findings", F.array().cast("array<struct<kind:string,start:long,end:long>>"))
+    found = F.coalesce("findings", F.array().cast(FOUND))
     of = lambda kind: F.size(F.filter("f", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     words = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
     base = F.filter("f", lambda x: x["kind"].isin(*BASE))
-    joined = findings_by_path(docs, scan(docs).filter(F.size("findings") > 0)).select("doc_id", found.alias("f"))
+    joined = scan_with_ledger(documents(spark, sf_dir, "doc_id", "text"), shared_path(spark)).select("doc_id", found.alias("f"))
     return joined.select("doc_id", *(of(k) for k in BASE), F.sha2(words(base), 256).alias("base_sha256"), words(F.col("f")).alias("spans"))
 
 
@@ -181,6 +257,10 @@ _SQL_RULES = (
     ("hex", r"[0-9a-f]+", 0, 16),
     ("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 0),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
+    ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
+    ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+    ("google", r"AIza[A-Za-z0-9_-]{35}", 0, 0),
+    ("stripe", r"sk_live_[A-Za-z0-9]{24,}", 0, 0),
 )
 SQL = {
     "op7_secret_ledger": f"""
