@@ -7,9 +7,14 @@ same way. Where to cut depends on a few neighbours only, so equal substrings get
 wherever they stand. The fingerprint is a bottom-k sketch of the names of two levels; likeness is the sketches'
 estimate of the names in common among all names.
 
+Each document's successor is found by ranges of the order: a first pass over ids and hashes of texts tells where the
+ranges begin, as many as the text's bytes ask for; a second one fingerprints each text where it lies and sends it to
+its range, and the first row of each range to the one before it as well. A range is read as a stream, row by row.
+
 Defined cases: null text is empty; an empty text has the empty fingerprint, whose likeness is 1 to itself and 0 to any
-other; rows with one id follow each other by text; a null id comes last; with one row, the next document is itself; an
-empty table gives an empty result; other columns are ignored.
+other; rows with one id follow each other by a hash of their text; null ids come last, and like rows of any one id are
+spread over ranges by that hash; rows equal in both are neighbours; with one row, the next document is itself; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +31,8 @@ from .text_arrays import BYTE_VALUE, U, mix, powers
 
 LEVELS = (2, 3)
 SKETCH = 64
-MAX_BUCKETS = 1_024
+#: Text of a range; many ranges are one task's where texts are short.
+RANGE_BYTES = 32 << 20
 _OFFSETS = powers(4_096, U(0xD6E8FEB86659FD93))
 
 
@@ -137,28 +143,74 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fingerprint string")
 
 
-def _ordered(docs: DataFrame) -> DataFrame:
-    """docs dealt by ranges of falling id; each range ends with the first row of the range below, marked as a guest.
+#: Whose rising order is that of falling ids, nulls last, then of the texts' hashes.
+_KEYS = np.dtype([("none", np.uint64), ("id", np.uint64), ("hash", np.uint64)])
 
-    The ranges are cut at quantiles of the ids; only those and each range's largest id reach the driver, at most
-    MAX_BUCKETS of either.
-    """
+
+def _keys(ids: pa.Array, hashes: pa.Array) -> np.ndarray:
+    out = np.empty(len(ids), _KEYS)
+    signed = lambda x: x.astype(np.int64).view(np.uint64) ^ U(1 << 63)
+    out["none"] = ids.is_null().to_numpy(zero_copy_only=False)
+    out["id"] = signed(~ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    out["hash"] = signed(hashes.to_numpy(zero_copy_only=False))
+    return out
+
+
+def _place(starts: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The range of each key: the last that begins at it or before."""
+    every, index = np.unique(np.concatenate([starts, keys]), return_inverse=True)
+    begins = np.zeros(len(every), np.int64)
+    np.add.at(begins, index[: len(starts)], 1)
+    return np.maximum(np.cumsum(begins)[index[len(starts) :]] - 1, 0)
+
+
+def range_starts(docs: DataFrame, count: int) -> np.ndarray:
+    """The least keys of count ranges of about as many rows each, in order; fewer, where rows are equal. The driver gets
+    one key a range."""
+    order = [F.col("doc_id").desc_nulls_last(), F.col("hash")]
+
+    def least(batches):
+        best = None
+        for batch in batches:
+            if batch.num_rows:
+                keys = _keys(batch.column(0), batch.column(1))
+                first = keys[np.lexsort((keys["hash"], keys["id"], keys["none"]))[:1]]
+                best = first if best is None else np.sort(np.concatenate([best, first]))[:1]
+        if best is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(best[c].view(np.int64), pa.int64()) for c in _KEYS.names], list(_KEYS.names))
+
+    found = docs.select("doc_id", "hash").repartitionByRange(count, *order).mapInArrow(least, "none long, id long, hash long").toArrow()
+    out = np.empty(found.num_rows, _KEYS)
+    for c in _KEYS.names:
+        out[c] = found[c].to_numpy().view(np.uint64)
+    return np.unique(out)
+
+
+def _dealt(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) -> doc_id, hash, text, sketch, range, guest: in the order of ranges, each of which ends with
+    the first row of the next one, a guest; the last with that of the first."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    count = min(MAX_BUCKETS, 4 * shuffle_width(spark))
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / count for i in range(1, count)], 20 * count)).first()[0] or []
-    cuts = sorted(set(cuts))
-    bounds = F.array(*(F.lit(c).cast("long") for c in cuts)) if cuts else F.array().cast("array<long>")
-    bucket = F.coalesce(F.size(F.filter(bounds, lambda b: b < F.col("doc_id"))), F.lit(-1)).alias("bucket")
-    dealt = docs.select("doc_id", "text", bucket)
-    tops = [(r.bucket, r.top) for r in dealt.select("doc_id", "bucket").groupBy("bucket").agg(F.max("doc_id").alias("top")).orderBy(F.desc("bucket")).collect()]
-    if not tops:
-        return dealt.withColumn("guest", F.lit(False))
-    guests = spark.createDataFrame([(above, below, top) for (above, _), (below, top) in zip(tops, tops[1:] + tops[:1])], "host int, bucket int, top long")
-    first = dealt.join(F.broadcast(guests.select("bucket", F.col("top"))), ["bucket"]).filter(F.col("doc_id").eqNullSafe(F.col("top")))
-    first = first.groupBy("bucket", "doc_id").agg(F.min("text").alias("text")).join(F.broadcast(guests.select("bucket", "host")), "bucket")
-    rows = dealt.withColumn("guest", F.lit(False)).unionByName(first.select("doc_id", "text", F.col("host").alias("bucket"), F.lit(True).alias("guest")))
-    return rows.repartition(max(count, 1), "bucket").sortWithinPartitions("bucket", "guest", F.col("doc_id").desc_nulls_last(), "text")
+    known = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"), F.coalesce("text", F.lit("")).alias("text"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    starts = range_starts(known, max(shuffle_width(spark), -(-size // RANGE_BYTES)))
+    count = max(1, len(starts))
+    shipped = spark.sparkContext.broadcast(starts)  # 24 bytes a range
+    schema = "doc_id long, hash long, text string, sketch binary, range int, guest boolean"
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def run(batches):
+        begin, sent = shipped.value, set()
+        for batch in slices(batches):
+            keys = _keys(batch.column(0), batch.column(1))
+            place = _place(begin, keys)
+            own = pa.array([x.astype(">u4").tobytes() for x in sketches(*utf8(batch.column(2)))], pa.binary())
+            columns = [*batch.columns, own]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(place, pa.int32()), pa.array(np.zeros(len(keys), bool))], names)
+            guests = [i for i in np.flatnonzero(keys == begin[place]).tolist() if place[i] not in sent and not sent.add(place[i])]  # one of equal rows will do
+            if guests:
+                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(guests)) for c in columns), pa.array((place[guests] - 1) % len(begin), pa.int32()), pa.array(np.ones(len(guests), bool))], names)
+
+    return known.mapInArrow(run, schema).repartitionById(count, F.col("range")).sortWithinPartitions("range", "guest", F.col("doc_id").desc_nulls_last(), "hash")
 
 
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -168,22 +220,23 @@ def with_next(docs: DataFrame) -> DataFrame:
     """Each row's fingerprint, and how near it is to its edited text's and to the next row's."""
 
     def run(batches):
-        held: list[tuple] = []  # the row before this slice: bucket, id, text, sketch
+        held: list[tuple] = []  # the row before this slice: range, guest, id, text, sketch
         for batch in slices(batches):
-            columns = [batch.column(i).to_pylist() for i in range(4)]
-            own = _sketch_texts(columns[1])
-            rows = held + list(zip(columns[2], columns[3], columns[0], columns[1], own))
+            ids, texts, own, place, guest = (batch.column(i).to_pylist() for i in range(5))
+            rows = held + list(zip(place, guest, ids, texts, [np.frombuffer(x, ">u4").astype(np.uint32) for x in own]))
             pairs = [(a, b) for a, b in zip(rows, rows[1:]) if a[0] == b[0] and not a[1]]
             edited = [edit(a[3], b[3]) for a, b in pairs]
-            out = [
-                (a[2], len(a[3]), hashlib.sha256(e.encode()).hexdigest(), to_text(a[4]), to_text(s), likeness(a[4], s), likeness(a[4], b[4]))
-                for (a, b), e, s in zip(pairs, edited, _sketch_texts(edited))
-            ]
+            fresh = {t: i for i, t in enumerate(dict.fromkeys(edited))}  # equal neighbours have equal edits
+            found = _sketch_texts(list(fresh))
+            out = []
+            for (a, b), e in zip(pairs, edited):
+                s = found[fresh[e]]
+                out.append((a[2], len(a[3]), hashlib.sha256(e.encode()).hexdigest(), to_text(a[4]), to_text(s), likeness(a[4], s), likeness(a[4], b[4])))
             held = rows[-1:]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64()))], [f.split()[0] for f in SCHEMA.split(", ")])
 
-    return _ordered(docs).select("doc_id", "text", "bucket", "guest").mapInArrow(run, SCHEMA)
+    return _dealt(docs).select("doc_id", "text", "sketch", "range", "guest").mapInArrow(run, SCHEMA)
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
