@@ -93,11 +93,40 @@ def test_cleaning_and_region_means(spark, kind):
         got[r.y, r.x] = r.m
     assert (got == want).all()
     regions = spark.createDataFrame([(1, y, x) for y in range(9) for x in range(7)], "slide long, y long, x long")
-    for means in (masks.region_means(regions, table, 4), masks.region_means_packed(regions, table, 4)):
-        for r in means.collect():
+    for size in (4, F.lit(4)):
+        for r in masks.region_means(regions, table, size).collect():
             assert r.pct == pytest.approx(m[r.y : r.y + 4, r.x : r.x + 4].mean())
 
 
+def test_strips_give_what_the_whole_gives(spark, monkeypatch):
+    monkeypatch.setattr(masks, "STRIP", 3)
+    rng = np.random.default_rng(1)
+    m, there = (rng.random((20, 9)) < 0.6).astype(int), rng.random((20, 9)) < 0.95
+    cells = [(s, y, x, int(m[y, x])) for s in (1, 2) for y in range(20) for x in range(9) if there[y, x]] + [(1, 30, 0, None)]
+    table = spark.createDataFrame(cells, "slide long, y long, x long, m int")
+    want = m
+    for step in (masks.LEAST, masks.GREATEST, masks.GREATEST, masks.LEAST):
+        want = masks.cross(want, there, step)
+    got = masks.clean(table).collect()
+    assert len(got) == len(cells) and all(r.m == (want[r.y, r.x] if r.y < 20 else None) for r in got)
+    regions = spark.createDataFrame([(s, y, x, n) for s in (1, 2, 3) for y in (-2, 0, 2, 5, 17, 40) for x in (0, 4, 8) for n in (0, 1, 3, 8)], "slide long, y long, x long, n long")
+    known = np.where(there, m, 0)
+    for r in masks.region_means(regions, table, F.col("n")).collect():
+        rows, columns = slice(max(0, r.y), max(0, r.y + r.n)), slice(r.x, r.x + r.n)
+        if r.slide == 3 or not r.n or not there[rows, columns].any():
+            assert r.pct is None
+        else:
+            assert r.pct == pytest.approx(known[rows, columns].sum() / r.n**2)
+    assert masks.region_means(regions, table.limit(0), 2).filter("pct is not null").count() == 0
+
+
+def test_mask_by_chunks_equals_the_whole_where_chunks_are_plain(spark):
+    pixels = spark.createDataFrame([(1, y, x, 150, 70, 160) if (y // 16 + x // 16) % 2 else (1, y, x, 240, 240, 240) for y in range(64) for x in range(48)], "slide long, y long, x long, r int, g int, b int")
+    got = {(r.y, r.x): r.m for r in masks.chunked(pixels, 16, 4).collect()}
+    assert got == {(y, x): (y // 4 + x // 4) % 2 for y in range(16) for x in range(12)}
+    assert masks.chunked(pixels.filter("y < 3 and x < 3"), 16, 4).count() == 0
+
+
 def test_thresholds():
     with pytest.raises(ValueError):
         masks.enough_tissue(1.5)
@@ -119,6 +148,16 @@ def test_split_sizes(spark, n):
     assert sizes == [n // 10 + (b < n % 10) for b in range(10)]
 
 
+def test_split_of_skewed_and_repeated_orders(spark):
+    values = [0] * 50 + list(range(1000)) + [10**12 + i for i in range(37)] + [None] * 3
+    out = sampling.split(spark.createDataFrame([(v,) for v in values], "line_no long"), 7, "line_no").collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.bucket, []).append(-1 if r.line_no is None else r.line_no)
+    assert [len(by[b]) for b in range(1, 8)] == [len(values) // 7 + (b < len(values) % 7) for b in range(7)]
+    assert all(max(by[b]) <= min(by[b + 1]) for b in range(1, 7))
+
+
 def test_match_priorities(spark):
     slides = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), ("e",)], "stem string")
     files = spark.createDataFrame([("a",), ("a_coords",), ("b_features",), ("b_patches",), ("c_z",), ("c_y",), ("dd",)], "file_stem string")
@@ -143,6 +182,35 @@ def test_probabilities_and_ties(spark):
     assert len(r.top3_predictions) == 2 and sum(r.probabilities.values()) == pytest.approx(1)
 
 
+def test_scores_of_odd_rows_and_wide_models(spark):
+    rng = np.random.default_rng(4)
+    weights, rows = rng.normal(size=(20, 768)), rng.normal(size=(30, 768)).astype(np.float32)
+    model = spark.createDataFrame([([(f"c{i:02}", w.tolist(), float(i)) for i, w in enumerate(weights)],)], "classes array<struct<label:string,w:array<double>,b:double>>")
+    frame = spark.createDataFrame([(i, r.tolist(), "kept") for i, r in enumerate(rows)] + [(100, None, "kept"), (101, [1.0], "kept"), (102, [float("nan")] * 768, "kept"), (103, [], "kept")], "id long, embedding array<float>, other string")
+    got = {r.id: r for r in classify.scored(frame, model).collect()}
+    for i, x in enumerate(rows):
+        z = weights @ x.astype(float) + np.arange(20)
+        p = np.exp(z - z.max())
+        want = sorted(zip(-z, (f"c{k:02}" for k in range(20)), p / p.sum()))
+        assert [s.label for s in got[i].scores] == [w[1] for w in want] and np.allclose([s.p for s in got[i].scores], [w[2] for w in want])
+    assert all(got[i].scores is None and got[i].other == "kept" for i in (100, 101, 102, 103))
+    plan = classify.scored(frame, model)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    with pytest.raises(ValueError):
+        classify.scored(frame, model.union(model))
+    with pytest.raises(ValueError):
+        classify.scored(frame, model.limit(0))
+
+
+def test_model_files(spark, tmp_path):
+    labels = spark.createDataFrame([(0, "a")], "idx int, label string")
+    classify.save(labels, spark.createDataFrame([(0, [1.0], 0.5)], "idx int, w array<double>, b double"), str(tmp_path / "m"))
+    for path in (str(tmp_path / "m"), str(tmp_path / "none"), None):
+        assert classify.load(spark, path, str(tmp_path / "m")).first().classes[0].b == 0.5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        classify.load(spark, str(tmp_path / "none"), str(tmp_path / "no default")).collect()
+
+
 def test_modes_take_the_lower_of_equals(spark):
     rows = spark.createDataFrame([(1, 9, 5), (1, 7, 5), (1, 7, 6), (1, 9, 6)], "slide long, g int, b int")
     assert tuple(quality.modes(rows, "slide").first()) == (1, 7, 5)

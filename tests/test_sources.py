@@ -1,8 +1,12 @@
+import importlib.util
+import io
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tilespark.sources import listing, raster, tables, worklists
+from tilespark.operators.encoder import resize
+from tilespark.sources import foreign, listing, raster, scratch, tables, tiff, worklists
 from tilespark.streaming import intake
 
 
@@ -47,17 +51,73 @@ def test_tables(spark, tmp_path):
     assert (good.count(), bad.count()) == (1, 2)
 
 
+@pytest.mark.parametrize(("tile", "deflate", "order", "samples"), [(16, True, "<", 3), (None, False, ">", 4), (32, False, "<", 1), (None, True, "<", 3)])
+def test_tiff_levels_and_regions(tile, deflate, order, samples):
+    rng = np.random.default_rng(samples)
+    pages = [rng.integers(0, 256, (70 // k, 90 // k, samples)).astype(np.uint8) for k in (1, 2, 4)] + [np.zeros((5, 60, samples), np.uint8)]
+    out = io.BytesIO()
+    tiff.write(out, pages, tile, deflate, order)
+    image = tiff.Tiff(out)
+    assert [(w, h) for w, h, _ in image.levels] == [(90, 70), (45, 35), (22, 17)]  # the last page is of another shape
+    for level, page in enumerate(pages[:3]):
+        for x, y, w, h in ((0, 0, page.shape[1], page.shape[0]), (3, 5, 7, 11), (page.shape[1] - 1, page.shape[0] - 1, 1, 1), (14, 1, 5, 16)):
+            assert (image.region(level, x, y, w, h) == page[y : y + h, x : x + w]).all()
+    for bad in ((0, 80, 0, 20, 5), (0, -1, 0, 2, 2)):
+        with pytest.raises(ValueError):
+            image.region(*bad)
+    with pytest.raises(ValueError):
+        tiff.Tiff(io.BytesIO(b"neither one nor the other"))
+
+
+def test_reduced_rows_are_those_of_the_whole(tmp_path):
+    rng = np.random.default_rng(5)
+    image = rng.integers(0, 256, (101, 77, 3)).astype(np.uint8)
+    raster.write_ppm(str(tmp_path / "s.ppm"), image)
+    whole = resize(image, 101 // 4, 77 // 4)
+    parts = [raster.reduced(raster.open_raster(str(tmp_path / "s.ppm")), 4, a, min(25, a + 7)) for a in range(0, 25, 7)]
+    assert (np.concatenate(parts) == whole).all()
+    d = np.abs((np.arange(101)[None, :] - ((np.arange(25) + 0.5) * 101 / 25 - 0.5)[:, None]) / (101 / 25))
+    w = np.where(d < 4, np.sinc(d) * np.sinc(d / 4), 0)
+    column = np.clip(np.rint((w / w.sum(1, keepdims=True)) @ image[:, 30, 0]), 0, 255)
+    assert (resize(image[:, 30:31], 25, 1)[:, 0, 0] == column).all()
+
+
+def test_levels_are_checked(spark):
+    levels = F.expr("array(struct(1L as w), struct(2L as w))")
+    assert spark.range(1).select(F.size(raster.check_level(levels, 1)).alias("n")).first().n == 2
+    with pytest.raises(Exception, match="level 2 isn't there; the image has 2 levels"):
+        spark.range(1).select(raster.check_level(levels, 2)).collect()
+
+
+def test_other_tools_files_say_what_is_missing(spark, tmp_path):
+    for source, name, package in ((foreign.TileFiles, "hdf5tiles", "h5py"), (foreign.TensorFiles, "tensors", "torch")):
+        spark.dataSource.register(source)
+        if importlib.util.find_spec(package) is None:
+            with pytest.raises(Exception, match=f"need the package {package}"):
+                spark.read.format(name).option("path", str(tmp_path)).load().collect()
+    if importlib.util.find_spec("h5py") is None:
+        with pytest.raises(ModuleNotFoundError, match="h5py"):
+            foreign.write_tile_files(spark.range(1), str(tmp_path))
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark):
+    assert scratch.folder(spark) != scratch.folder(spark)
+    assert scratch.base("hdfs:///shared/", "spark://host:7077") == "hdfs:///shared" and scratch.base(None, "local[4]")
+    with pytest.raises(RuntimeError):
+        scratch.base(None, "spark://host:7077")
+
+
 def test_raster_source(spark, tmp_path):
     rng = np.random.default_rng(0)
     image = rng.integers(0, 256, (48, 64, 3)).astype(np.uint8)
     raster.write_ppm(str(tmp_path / "s.ppm"), image)
-    assert (raster.read_ppm(str(tmp_path / "s.ppm")) == image).all()
+    assert (raster.open_raster(str(tmp_path / "s.ppm")).region(0, 0, 0, 64, 48) == image).all()
     spark.dataSource.register(raster.RasterSource)
     row = spark.read.format("raster").option("path", str(tmp_path)).load().first()
     assert (row.w, row.h, row.levels[0].downsample) == (64, 48, 1.0)
     pixels = spark.read.format("raster").option("path", str(tmp_path)).option("factor", "4").load()
     assert pixels.count() == 12 * 16
-    small = raster.reduced(image, 4)
+    small = resize(image, 12, 16)
     for r in pixels.limit(20).collect():
         assert (r.r, r.g, r.b) == tuple(int(v) for v in small[r.y, r.x])
 

@@ -9,15 +9,19 @@ from pyarrow import fs
 from pyspark.sql import SparkSession
 
 
+def base(setting: str | None, master: str) -> str:
+    """The folder that the setting names. Without it, one machine has a folder of its own; on a cluster it has to be set."""
+    if setting:
+        return setting.rstrip("/")
+    if not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="tilespark-")
+
+
 def folder(spark: SparkSession) -> str:
-    """A fresh path in the folder that spark.checkpoint.dir names. Without that setting, one machine has a folder of its
-    own; on a cluster it has to be set."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="tilespark-")
-    return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
+    """A fresh path in the folder that spark.checkpoint.dir names."""
+    setting = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    return f"{base(setting, spark.sparkContext.master)}/files-{uuid.uuid4().hex}"
 
 
 def system(path: str) -> tuple[fs.FileSystem, str]:
