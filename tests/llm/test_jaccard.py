@@ -1,5 +1,6 @@
 import random
 
+import duckdb
 import pytest
 
 from tilespark.llm import jaccard
@@ -69,3 +70,24 @@ def test_components_of_chains_and_stars(spark):
     want = {i: 0 for i in range(1, 41)} | {j: 100 for j in range(101, 130)} | {300: 298, 299: 298}
     assert got == want
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+@pytest.mark.parametrize(("requests", "bucket", "pairs"), [(4_000, 64 << 20, 1 << 21), (3, 2_000, 5)])
+def test_many_blocks_buckets_and_salts(spark, monkeypatch, requests, bucket, pairs):
+    """Hubs whose requests are split, many small buckets, pairs told in many cells; and rows kept of each component."""
+    for name, value in (("BLOCK_SETS", 10), ("BLOCK_REQUESTS", requests), ("BUCKET_BYTES", bucket), ("HELD_PAIRS", pairs), ("LEAST_COMMON", 2)):
+        monkeypatch.setattr(jaccard, name, value)
+    rows = corpus(7)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id string").repartition(5)
+    want = jaccard.brute([(i, t) for i, t, _ in rows])
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link_components(docs).collect()} == want
+    assert sorted(r.doc_id for r in jaccard.representatives(docs).collect()) == sorted(i for i, (_, c) in want.items() if i == c)
+
+
+def test_query_equals_its_sql(spark, tmp_path):
+    rows = [(i, t) for i, t, _ in corpus(4) if len(t or "") < 10_000]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got, want = jaccard.op8_jaccard_components(spark, str(tmp_path)), con.sql(jaccard.SQL["op8_jaccard_components"])
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(want.fetchall())

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, materialise, shuffle_width, slices, utf8
+from .common import documents, marked_slots, materialise, shuffle_width, slices, utf8
 from .components import components
 from .long_repeats import cells_of, part_of
 from .packed import bounds, pack, rising, risen, unpack
@@ -47,6 +47,10 @@ PART_ENTRIES = 1 << 20
 #: Sets of a block, and requests that a task answers on it.
 BLOCK_SETS = 4_000
 BLOCK_REQUESTS = 4_000
+#: Text whose classes are one bucket's, where what is known of classes meets.
+BUCKET_BYTES = 64 << 20
+#: Pairs of lists that a task holds before it packs them.
+HELD_PAIRS = 1 << 21
 _KEY_BITS = U(16)  # keys are the upper 48 bits: a clash only adds a candidate
 #: From this size on, sets list their shingles one by one.
 MAX_SMALL = 10
@@ -82,15 +86,15 @@ def class_names(flat: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """A row a text: doc_id, n_shingles, cls (null if empty)."""
+    """A row a text: doc_id, text_hash, n_shingles, cls (null if empty)."""
 
     def run(batches):
         for batch in slices(batches):
-            flat, first = shingle_sets(batch.column(1))
+            flat, first = shingle_sets(batch.column(2))
             names = class_names(flat, first)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(first), pa.int64()), pa.array(names, pa.int64(), mask=names == 0)], ["doc_id", "n_shingles", "cls"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.diff(first), pa.int64()), pa.array(names, pa.int64(), mask=names == 0)], ["doc_id", "text_hash", "n_shingles", "cls"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, cls long")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, "doc_id long, text_hash long, n_shingles long, cls long")
 
 
 def _distinct_sets(batch: pa.RecordBatch):
@@ -350,9 +354,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     is full, all texts are read and the join decides. Only sets are dealt, not texts.
     """
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int")
-    marked = np.zeros(SLOTS, bool)
-    marked[[r.slot for r in wanted.select(slot.alias("slot")).distinct().collect()]] = True
-    shipped = docs.sparkSession.sparkContext.broadcast(np.packbits(marked))
+    shipped = docs.sparkSession.sparkContext.broadcast(np.packbits(marked_slots(wanted.select(slot.alias("slot")), SLOTS)))
 
     def run(batches):
         mark = np.unpackbits(shipped.value).astype(bool)
@@ -397,10 +399,12 @@ def links(requests: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
     """The pairs (u, v) whose sets are near enough, compared in full: a request's set goes to each block of sets that it
     has partners in, so pairs are never rows. A block with many requests is answered in several tasks."""
     requests = materialise(requests)
-    salts = max(1, math.ceil(requests.count() / (blocks * BLOCK_REQUESTS)))
+    busy = requests.groupBy("block").agg(F.ceil(F.count("*") / BLOCK_REQUESTS).cast("int").alias("salts")).filter("salts > 1")
+    busy = materialise(busy.select(F.col("block").alias("_block"), "salts"))  # a row for BLOCK_REQUESTS requests at most
+    salted = lambda rows: rows.join(busy, rows["block"] == busy["_block"], "left").withColumn("salts", F.coalesce("salts", F.lit(1))).drop("_block")
     # a merge at every size: what could be broadcast grows with the corpus
-    left = requests.hint("merge").join(sets.select(F.col("cls").alias("u"), F.col("shingles").alias("own")), "u").withColumn("salt", F.pmod(F.xxhash64("u"), F.lit(salts)).cast("int"))
-    right = sets.withColumn("block", F.pmod("cls", F.lit(blocks)).cast("int")).withColumn("salt", F.explode(F.array(*(F.lit(i) for i in range(salts)))) if salts > 1 else F.lit(0))
+    left = salted(requests).hint("merge").join(sets.select(F.col("cls").alias("u"), F.col("shingles").alias("own")), "u").withColumn("salt", F.pmod(F.xxhash64("u"), F.col("salts")).cast("int")).drop("salts")
+    right = salted(sets.withColumn("block", F.pmod("cls", F.lit(blocks)).cast("int"))).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
     return left.groupBy("block", "salt").cogroup(right.groupBy("block", "salt")).applyInArrow(_compare, "u long, v long")
 
 
@@ -413,6 +417,17 @@ def _crossing(buckets: int):
         for begin, index, own, size, home in _known_members(listed, told):
             mixed = np.minimum.reduceat(home, begin[:-1]) != np.maximum.reduceat(home, begin[:-1])
             found: list[np.ndarray] = []
+
+            def tell() -> None:
+                pair, times = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+                found.clear()
+                x, y = pair // len(own), pair % len(own)
+                need = shared_lists(np.minimum(size[x], size[y]).astype(np.int64))
+                told_, cells_ = _by_class(own[x], buckets, own[y], times.astype(np.int32), need.astype(np.int32))
+                names.extend(told_)
+                cells.extend(cells_)
+
+            held = 0
             for a, b in zip(begin[:-1][mixed].tolist(), begin[1:][mixed].tolist()):
                 member, where, n = index[a:b].astype(np.int64), home[a:b], b - a
                 many = size[member].astype(np.int64)
@@ -422,12 +437,11 @@ def _crossing(buckets: int):
                     i, j = np.nonzero((where[part, None] != where) & near_size & (np.arange(low, part.stop)[:, None] < np.arange(n)))
                     x, y = member[i + low], member[j]
                     found.append(np.minimum(x, y) * len(own) + np.maximum(x, y))
-            pair, times = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            x, y = pair // len(own), pair % len(own)
-            need = shared_lists(np.minimum(size[x], size[y]).astype(np.int64))
-            told_, cells_ = _by_class(own[x], buckets, own[y], times.astype(np.int32), need.astype(np.int32))
-            names += told_
-            cells += cells_
+                    held += len(x)
+                    if held > HELD_PAIRS:
+                        tell()
+                        held = 0
+            tell()
         return pa.table({"bucket": pa.array(names, pa.int32()), "cell": pa.array(cells, pa.binary())})
 
     return run
@@ -446,8 +460,8 @@ def _enough(blocks: int):
     return run
 
 
-def link_components(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text) -> doc_id, n_shingles, component_id."""
+def _homes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """docs (doc_id, text) -> (what classes() gives, a row a class: cls, root, component_id)."""
     spark = docs.sparkSession
     sc = spark.sparkContext
     named = materialise(classes(docs))
@@ -472,7 +486,7 @@ def link_components(docs: DataFrame) -> DataFrame:
     shipped = sc.broadcast((told["key"].to_numpy(np.uint64), told["times"].to_numpy(np.int64)))
     small = boundary(entries / different if different else 1.0)
 
-    buckets = shuffle_width(spark)
+    buckets = max(shuffle_width(spark), math.ceil(size / BUCKET_BYTES))
     listed = docs.select("text").mapInArrow(_list_cells(parts, shipped, small, drop), "part int, cell binary").groupBy("part").applyInArrow(_lists(buckets), "part int, bucket int, cell binary")
     listed = materialise(listed)
     lists = listed.filter("part is not null").select("part", "cell")
@@ -491,8 +505,29 @@ def link_components(docs: DataFrame) -> DataFrame:
     roots = components(edges.unionByName(more))
     home = owners.join(roots, owners["cls"] == roots["node"], "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
     least_id = home.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    home = home.join(least_id, "root").select("cls", "component_id")
-    return named.join(home, "cls", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return named, home.join(least_id, "root").select("cls", "root", "component_id")
+
+
+def link_components(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) -> doc_id, n_shingles, component_id."""
+    named, home = _homes(docs)
+    return named.join(home.drop("root"), "cls", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """docs with its columns: one row of each component, the one of the least id (null last), then of the least hash of
+    its text, then of the least other columns. Rows without words are linked with nothing, and all stay."""
+    named, home = _homes(docs)
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    chosen = named.join(home, "cls").groupBy("root", own.alias("r")).agg(F.count("*").alias("n"))
+    chosen = chosen.groupBy("root").agg(F.min(F.struct("r", "n")).alias("best"))
+    chosen = materialise(chosen.select(F.col("best.r.doc_id").alias("_id"), F.col("best.r.text_hash").alias("_hash"), F.col("best.n").alias("_n")))
+    wordy = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    held = lambda some: docs.filter(wordy).join(some, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash")), "left_semi")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    several = held(chosen.filter("_n > 1")).groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0).alias("_"), *rest)).alias("_rest"))
+    several = several.select(*(F.col(f"_rest.`{c}`").alias(c) if c in rest else F.col(c) for c in docs.columns))
+    return docs.filter(~wordy).unionByName(held(chosen.filter("_n = 1"))).unionByName(several)
 
 
 def op8_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
