@@ -1,5 +1,6 @@
 import re
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -69,3 +70,28 @@ def test_water_filling(spark, sizes):
     got = {r.source: r.target for r in mixing.targets(rows).select("source", F.col("target")).collect()}
     assert got == pytest.approx(fair_targets(table))
     assert sum(got.values()) == pytest.approx(sum(sizes))
+
+
+def test_repeated_rows_long_texts_and_clashing_names(spark):
+    rows = [(i, f"s{i % 4}", "w " * 50, "x", 7) for i in range(400)] + [(5, "s1", "same row", "x", 1)] * 30 + [(900, "s2", "long " * 400_000, "x", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("copies", F.lit("mine")).withColumn("source_size", F.lit(-1))
+    sized = mixing.sizes(docs)
+    mixed = mixing.with_copies(docs, mixing.thresholds(sized))
+    assert sorted(mixed.columns) == sorted([*docs.columns]) and mixed.count() == len(rows)
+    out = mixed.collect()
+    assert len({r.copies for r in out if r.doc_id == 5 and r.text == "same row"}) == 1  # taken together
+    sizes = {}
+    for _, s, t, *_ in rows:
+        sizes[s] = sizes.get(s, 0) + len(t.split())
+    assert all(r.source_size == sizes[r.source] and r.target == pytest.approx(fair_targets(sizes)[r.source]) and 0 <= r.copies <= 3 for r in out)
+    again = {(r.doc_id, r.text[:9], r.copies) for r in mixing.with_copies(docs.repartition(3), mixing.thresholds(sized)).collect()}
+    assert again == {(r.doc_id, r.text[:9], r.copies) for r in out}
+
+
+def test_query_equals_its_sql(spark, tmp_path):
+    rows = [(i, [f"s{i % 5}", None, "hot", "hot"][i % 4], " ".join(["w"] * (i * 7 % 60))) for i in range(500)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got, want = mixing.op10_mix_sources(spark, str(tmp_path)), con.sql(mixing.SQL["op10_mix_sources"])
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(want.fetchall())

@@ -101,8 +101,9 @@ def thresholds(rows: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
 
 
 def with_copies(docs: DataFrame, plan: DataFrame) -> DataFrame:
-    """docs with doc_id and source: adds copies, source_size and target. Up to MAX_BROADCAST_SOURCES rows are sent to
-    the docs, which then aren't dealt by source; more are joined by shuffle."""
+    """docs with doc_id and source: adds copies, source_size and target, in place of columns so named. Up to
+    MAX_BROADCAST_SOURCES rows are sent to the docs, which then aren't dealt by source; more are joined by shuffle."""
+    docs = docs.drop("copies", "source_size", "target")
     few = plan.count() <= MAX_BROADCAST_SOURCES
     joined = docs.join(F.broadcast(plan) if few else plan, docs["source"].eqNullSafe(plan["_source"]))
     return joined.withColumn("copies", F.col("whole") + (hash60("doc_id") <= F.col("cut")).cast("long")).drop("_source", "whole", "cut")
