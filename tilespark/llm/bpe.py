@@ -4,7 +4,8 @@ The nondeterministic transducer guesses where tokens end. Its configurations are
 token trie); it may end a token only where the pair (previous token, token) survives merging, and the merged encoding is
 the one path on which all pairs do. Determinising the subsets of configurations on demand gives a state for each subset
 met; what all configurations agree on is emitted at once, so no more than the longest token is ever looked ahead.
-States, pair verdicts and whole pieces are kept in caches of bounded size.
+States, pair verdicts and whole pieces are kept in caches of bounded size; within a long piece too, whose state at that
+moment is all that stays.
 
 Defined cases: null text encodes as empty, with no tokens; any text decodes to its own bytes; invalid or cut UTF-8 in a
 stream of ids decodes to U+FFFD; other columns are ignored; repeated rows each give their own row.
@@ -23,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents, slices
+from .common import documents, give_back, slices
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Pieces, states and pair verdicts that a worker keeps, and the lesser part of them that suits a worker which has other
@@ -135,12 +136,24 @@ class Transducer:
         arc = self.arcs[state << 8 | byte] = (at, out)
         return arc
 
+    def _forget(self, state: int) -> int:
+        """Drop all states but this one; gives its new number."""
+        kept = self.states[state]
+        self._reset()
+        at = self.number.setdefault(kept, len(self.states))
+        if at == len(self.states):
+            self.states.append(kept)
+        return at
+
     def encode(self, piece: bytes) -> list[int]:
-        if len(self.states) > self.max_states:
-            self._reset()
         arcs, state, ids = self.arcs, 0, []
         for byte in piece:
-            arc = arcs.get(state << 8 | byte) or self._arc(state, byte)
+            arc = arcs.get(state << 8 | byte)
+            if arc is None:
+                if len(self.states) >= self.max_states:
+                    state = self._forget(state)
+                    arcs = self.arcs
+                arc = self._arc(state, byte)
             state = arc[0]
             if arc[1]:
                 ids += arc[1]
@@ -210,6 +223,11 @@ def decode_stream(ids: Iterable[np.ndarray], bytes_of: dict[int, bytes]) -> Iter
     yield b"", machine.feed(b"", last=True)
 
 
+def decoded(ids: bytes, bytes_of: dict[int, bytes]) -> bytes:
+    array = np.frombuffer(ids, "<u4")
+    return b"".join(part for part, _ in decode_stream((array[i : i + DECODE_IDS] for i in range(0, len(array), DECODE_IDS)), bytes_of))
+
+
 _CODECS: dict[tuple[str, str, float], tuple] = {}
 
 
@@ -250,12 +268,25 @@ def encode_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def encode_ids(docs: DataFrame, path: str, pattern: str, share: float = SMALL) -> DataFrame:
-    """docs (doc_id, source, text) -> doc_id, source, n_tokens, ids (little-endian unsigned 32-bit integers)."""
+    """docs (doc_id, source, text) -> doc_id, source, n_tokens, ids (little-endian unsigned 32-bit integers).
+
+    The ids are decoded again as a stream; a text that doesn't come back as it was ends the job. The tables and caches
+    go when a task ends: the worker may have other work to come.
+    """
 
     def run(batches):
-        for batch in slices(batches):
-            ids = list(encode_texts(batch.column(2).to_pylist(), path, pattern, share))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "source", "n_tokens", "ids"])
+        try:
+            bytes_of = codec(path, pattern, share)[0].transducer.bytes_of
+            for batch in slices(batches):
+                texts = batch.column(2).to_pylist()
+                ids = list(encode_texts(texts, path, pattern, share))
+                for text, found in zip(texts, ids):
+                    if decoded(found, bytes_of) != (text or "").encode():
+                        raise ValueError("an encoded text doesn't decode to itself")
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "source", "n_tokens", "ids"])
+        finally:
+            _CODECS.pop((path, pattern, share), None)
+            give_back()
 
     return docs.select("doc_id", "source", "text").mapInArrow(run, "doc_id long, source string, n_tokens long, ids binary")
 
