@@ -1,6 +1,10 @@
 import random
+import tracemalloc
 
+import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 
 from tilespark.llm import byte_dedup, long_repeats, word_dedup
@@ -30,9 +34,12 @@ def corpus(seed):
 
 
 @pytest.mark.parametrize("module", [word_dedup, byte_dedup])
-@pytest.mark.parametrize(("seed", "hot"), [(0, 4096), (1, 4096), (2, 3), (3, 0)])
-def test_equals_brute_force(spark, tmp_path, monkeypatch, module, seed, hot):
+@pytest.mark.parametrize(("seed", "hot", "piece", "bucket"), [(0, 4096, 1 << 20, 3 << 20), (1, 4096, 256, 600), (2, 3, 1 << 20, 600), (3, 0, 300, 3 << 20)])
+def test_equals_brute_force(spark, tmp_path, monkeypatch, module, seed, hot, piece, bucket):
+    """With few and many buckets, texts whole and in pieces, anchors in the index and not."""
     monkeypatch.setattr(long_repeats, "HOT", hot)
+    monkeypatch.setattr(long_repeats, "PIECE_BYTES", piece)
+    monkeypatch.setattr(long_repeats, "BUCKET_BYTES", bucket)
     monkeypatch.setattr(long_repeats, "INDEX_SYMBOLS", 3000)
     rows = corpus(seed)
     path = str(tmp_path / "documents.parquet")
@@ -82,3 +89,37 @@ def test_broken_periods_equal_brute_force(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
     got = {r[0]: tuple(r)[1:] for r in byte_dedup.op4_byte_dedup(spark, str(tmp_path)).collect()}
     assert got == byte_dedup.brute(rows)
+
+
+@pytest.mark.parametrize("module", [word_dedup, byte_dedup])
+def test_query_equals_its_sql(spark, tmp_path, module):
+    rows = [(i, t) for i, t, _ in corpus(5)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    (name, query), = module.QUERIES.items()
+    got, want = query(spark, str(tmp_path)), con.sql(module.SQL[name])
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
+@pytest.mark.parametrize("unit", [long_repeats.BYTES, long_repeats.WORDS])
+def test_a_very_long_text_takes_bounded_memory(unit):
+    """All steps on one text of 20 MB, half of it a repeat of the other half."""
+    rng = np.random.default_rng(0)
+    half = " ".join(np.char.add("w", rng.integers(0, 1 << 30, 900_000).astype(str)).tolist())[: 10 << 20]
+    docs = pa.table({"bucket": pa.array([0], pa.int32()), "doc_id": pa.array([1]), "text": pa.array([half + " " + half])})
+    long_repeats.powers(1)
+    tracemalloc.start()
+    parts, pack = 64, lambda t: t.combine_chunks()
+    cells = pa.Table.from_batches(list(long_repeats._emit_anchors(unit, parts)(docs.to_batches())))
+    by = lambda t, column, k: pack(t.filter(pa.compute.equal(t.column(column), k)))
+    told = pa.concat_tables([long_repeats._repeated(by(cells, "part", k)) for k in range(parts)])
+    shipped = long_repeats._emit_snippets(unit, parts)(docs, told)
+    repeats = pa.concat_tables([long_repeats._settle(unit)(by(shipped, "part", k)) for k in set(shipped.column("part").to_pylist())])
+    finish = byte_dedup.finish if unit.places else word_dedup.finish
+    out = long_repeats._unite(finish, ["doc_id", "n", "n_removed", "n_spans", "kept_sha256"] if unit.places else ["doc_id", "n", "n_removed", "kept_sha256"])(docs, repeats)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    removed = out.column("n_removed")[0].as_py()
+    assert removed == len(half) if unit.places else removed == 0
+    assert peak < 1 << 30

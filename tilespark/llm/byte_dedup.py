@@ -18,16 +18,18 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents
-from .long_repeats import BYTES, covered, find_repeats
+from .long_repeats import BYTES, find_repeats, left_over, united
 
 
 def finish(text: str, start: np.ndarray, end: np.ndarray) -> tuple:
     raw = text.encode()
     if not len(start):
         return len(raw), 0, 0, hashlib.sha256(raw).hexdigest()
-    gone = covered(len(raw), np.minimum(start, len(raw)), np.minimum(end, len(raw)))
-    kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-    return len(raw), int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()), hashlib.sha256(kept).hexdigest()
+    starts, ends = united(len(raw), start, end)
+    kept = hashlib.sha256()
+    for a, b in left_over(len(raw), starts, ends):
+        kept.update(memoryview(raw)[a:b])
+    return len(raw), sum(ends) - sum(starts), len(starts), kept.hexdigest()
 
 
 def op4_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ hash, after each bucket has kept the least place of each.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,16 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_width, slices, utf8
+from .common import cut, give_back, shuffle_width, utf8
 from .packed import bounds, pack, ranges, rising, risen, unpack
-from .text_arrays import BYTE_VALUE, U, Words, inside, mix, powers, sliding_min, windows
+from .text_arrays import BYTE_VALUE, SPACE, U, Words, inside, mix, powers, sliding_min, windows
 from .text_index import RunIndex, WaveletIndex, earlier_matches
 
 HOT = 4_096
-#: Text read at once: its windows take some hundred bytes each.
+#: Text read at once: its windows take some hundred bytes each. Longer texts are read in pieces.
 PIECE_BYTES = 1 << 20
+#: Text of a bucket; a longer text is a bucket's only one, mostly.
 BUCKET_BYTES = 3 << 20
-MAX_BUCKETS = 20_000
 PART_ENTRIES = 1 << 17
 INDEX_SYMBOLS = 1 << 19
 _NONE = np.iinfo(np.int64).max  # a null id counts as the largest
@@ -52,6 +52,37 @@ class Unit:
     bytes_per_anchor: int
     index: type
 
+    def pieces(self, data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """A long text as (symbols, a hash of each, place of the first): every window is in one of the pieces."""
+        if self.index is RunIndex:
+            for at in range(0, len(data), PIECE_BYTES):
+                part = data[at : at + PIECE_BYTES + self.window - 1]
+                yield part, BYTE_VALUE[part], at
+            return
+        at, count, tail = 0, 0, np.zeros(0, np.uint64)
+        while at < len(data):
+            end = at + PIECE_BYTES
+            while end < len(data):  # behind a word
+                space = np.flatnonzero(SPACE[data[end : end + PIECE_BYTES]])
+                if len(space):
+                    end += int(space[0])
+                    break
+                end += PIECE_BYTES
+            own = Words(data[at:end], np.array([0, min(end, len(data)) - at])).hashes
+            hashes = np.concatenate([tail, own])
+            yield (hashes >> U(32)).astype(np.uint32), hashes, count - len(tail)
+            at, count, tail = end, count + len(own), hashes[len(hashes) - min(len(hashes), self.window - 1) :]
+
+    def read_all(self, batches: Iterable[pa.RecordBatch], text: str) -> Iterator[tuple]:
+        """(batch, symbols, a hash of each, first symbol of each text, place of the first symbol in its text)."""
+        for batch in cut(batches, text, PIECE_BYTES):
+            data, offsets = utf8(batch.column(batch.schema.get_field_index(text)))
+            if batch.num_rows == 1 and len(data) > PIECE_BYTES:
+                for symbols, hashes, at in self.pieces(data):
+                    yield batch, symbols, hashes, np.array([0, len(symbols)]), at
+            else:
+                yield batch, *self.read(data, offsets), 0
+
     def read(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(symbols, a hash of each, first symbol of each text)."""
         if self.index is RunIndex:
@@ -126,14 +157,13 @@ def _column(table: pa.Table, name: str) -> list:
 
 def _emit_anchors(unit: Unit, parts: int):
     def run(batches):
-        for batch in slices(batches, limit=PIECE_BYTES):
-            data, offsets = utf8(batch.column(2))
-            _, hashes, first = unit.read(data, offsets)
+        give_back()
+        for batch, _, hashes, first, _ in unit.read_all(batches, "text"):
             key, at, _, often = anchors(unit, hashes, first)
             if not len(key):
                 continue
             text = np.searchsorted(first, at, "right") - 1
-            bucket = batch.column(0).to_numpy(zero_copy_only=False)[text].astype(np.uint16 if MAX_BUCKETS < 1 << 16 else np.uint32)
+            bucket = batch.column(0).to_numpy(zero_copy_only=False)[text].astype(np.uint32)
             order = np.lexsort((text, bucket, key))
             key, bucket, text, fresh = key[order], bucket[order], text[order], often[order]
             if not unit.places:  # an anchor counts once a text
@@ -196,18 +226,17 @@ def _emit_snippets(unit: Unit, parts: int):
             keys, hot = keys[order], hot[order]
             bucket = int(docs.column("bucket")[0].as_py())
             gathered = []
-            for batch in slices(docs.combine_chunks().to_batches(), limit=PIECE_BYTES):
-                data, offsets = utf8(batch.column("text"))
-                symbols, hashes, first = unit.read(data, offsets)
+            for batch, symbols, hashes, first, base in unit.read_all(docs.to_batches(), "text"):
                 key, at, n, often = anchors(unit, hashes, first)
                 place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
                 keep = keys[place] == key
                 key, at, n, often, warm = key[keep], at[keep], n[keep], often[keep], hot[place[keep]]
                 text = np.searchsorted(first, at, "right") - 1
                 ids = batch.column("doc_id").fill_null(_NONE).to_numpy(zero_copy_only=False)[text]
-                start = at - first[text]
+                start = at - first[text] + base
                 span = n + unit.window - 1
-                gathered.append((key, ids, start, span, warm, _content(hashes, at, span), at, symbols, hashes, n, often))
+                value = windows(hashes, unit.window)[ranges(at[warm], n[warm])] if warm.any() else None
+                gathered.append((key, ids, start, span, warm, _content(hashes, at, span), at, symbols, value, n, often))
             settled = []
             many = lambda i: np.concatenate([g[i][~g[4]] for g in gathered])
             key, ids, start, span, content = (many(i) for i in (0, 1, 2, 3, 5))
@@ -229,7 +258,7 @@ def _emit_snippets(unit: Unit, parts: int):
                 out[0].extend(names), out[1].extend([0] * len(names)), out[2].extend(cells)
             warm = [(g, np.flatnonzero(g[4])) for g in gathered if g[4].any()]
             if warm:
-                value = np.concatenate([windows(g[8], unit.window)[ranges(g[6][i], g[9][i])] for g, i in warm])
+                value = np.concatenate([g[8] for g, _ in warm])
                 ids = np.concatenate([np.repeat(g[1][i], g[9][i]) for g, i in warm])
                 start = np.concatenate([ranges(g[2][i], g[9][i]) for g, i in warm])
                 least = _least_of_groups(unit, [value], ids, start)
@@ -369,19 +398,25 @@ def _unite(finish: Callable, names: list[str]):
     return run
 
 
-def covered(count: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Which of count places lie in an interval."""
-    edge = np.zeros(count + 1, np.int64)
-    np.add.at(edge, start, 1)
-    np.add.at(edge, end, -1)
-    return np.cumsum(edge[:-1]) > 0
+def united(count: int, start: np.ndarray, end: np.ndarray) -> tuple[list[int], list[int]]:
+    """The maximal runs of places, of count, that lie in an interval: where they start and end."""
+    start, end = np.minimum(start, count), np.minimum(end, count)
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    new = np.concatenate([[True], start[1:] > reach[:-1]])
+    return start[new].tolist(), reach[np.append(np.flatnonzero(new)[1:], len(new)) - 1].tolist()
+
+
+def left_over(count: int, starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
+    """What lies between the runs."""
+    return list(zip([0, *ends], [*starts, count]))
 
 
 def find_repeats(unit: Unit, docs: DataFrame, finish: Callable, schema: str) -> DataFrame:
     """docs (doc_id, text) -> one row a text: finish(text, starts, ends of its repeats)."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = min(MAX_BUCKETS, max(shuffle_width(spark), -(-size // BUCKET_BYTES)))
+    buckets = max(shuffle_width(spark), -(-size // BUCKET_BYTES))
     parts = max(shuffle_width(spark), -(-size // (unit.bytes_per_anchor * PART_ENTRIES)))
     known = docs.select(F.pmod(F.xxhash64(F.coalesce("doc_id", F.crc32("text"))), F.lit(buckets)).cast("int").alias("bucket"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     told = known.mapInArrow(_emit_anchors(unit, parts), "part int, cell binary").groupBy("part").applyInArrow(_repeated, "bucket int, told binary")

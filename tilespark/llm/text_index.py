@@ -2,8 +2,7 @@
 
 Both answer backward steps: from the interval of the suffixes that begin with a string to the interval of those that
 begin with one more symbol in front. WaveletIndex keeps the Burrows-Wheeler transform in a wavelet matrix of packed bits
-with counts a word; RunIndex keeps its runs, with the running counts of each symbol at the runs' ends, and the
-run of each place. Suffixes are
+with counts a word; RunIndex keeps its runs, with the running counts of each symbol at the runs' ends. Suffixes are
 sorted by as many symbols as a pattern can have. Each also keeps the order keys of the places in suffix order, with
 their range minima, to tell whether a string also stands earlier.
 """
@@ -103,16 +102,22 @@ class _Index:
         return both[: len(lo)] + before, both[len(lo) :] + before
 
 
+def _packed(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64 bits a word, one word more than needed; and the bits set before each word."""
+    packed = np.packbits(bits, bitorder="little")
+    words = np.concatenate([packed, np.zeros(-len(packed) % 8 + 8, np.uint8)]).view(np.uint64)
+    return words, np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int32)])
+
+
 class WaveletIndex(_Index):
     def _transform(self, bwt: np.ndarray, symbols: int) -> None:
         self.bits = max(1, int(symbols).bit_length())
         self.words, self.counts, self.zeros = [], [], []
         for level in range(self.bits - 1, -1, -1):
             bit = (bwt >> level & 1).astype(bool)
-            packed = np.packbits(bit, bitorder="little")
-            packed = np.concatenate([packed, np.zeros(-len(packed) % 8 + 8, np.uint8)]).view(np.uint64)
-            self.words.append(packed)
-            self.counts.append(np.concatenate([[0], np.cumsum(np.bitwise_count(packed), dtype=np.int32)]))
+            words, counts = _packed(bit)
+            self.words.append(words)
+            self.counts.append(counts)
             self.zeros.append(int((~bit).sum()))
             bwt = np.concatenate([bwt[~bit], bwt[bit]])
         every = np.arange(symbols + 1)
@@ -132,24 +137,35 @@ class WaveletIndex(_Index):
 
 
 class RunIndex(_Index):
+    """Nothing is kept for each place but a bit where a run begins, with counts a word: the predecessor among the runs'
+    beginnings is found by counting bits."""
+
     def _transform(self, bwt: np.ndarray, symbols: int) -> None:
         begins = np.concatenate([[True], bwt[1:] != bwt[:-1]])
-        self.run = np.flatnonzero(begins)  # first place of each run
-        self.at = np.append(np.cumsum(begins, dtype=np.int32) - np.int32(1), np.int32(len(self.run) - 1))  # the run of each place
-        self.head = bwt[self.run].astype(np.int64)
-        runs = len(self.run)
-        length = np.diff(self.run, append=len(bwt))
+        self.words, self.counts = _packed(begins)
+        run = np.flatnonzero(begins)  # first place of each run
+        self.head = bwt[run].astype(np.int64)
+        self.runs = len(run)
+        length = np.diff(run, append=len(bwt))
         order = np.argsort(self.head, kind="stable")  # the runs of each symbol in turn
-        self.of = self.head[order] * (runs + 1) + order
-        self.full = np.concatenate([[0], np.cumsum(length[order])])  # symbols up to each of these runs
-        self.first = np.searchsorted(self.head[order], np.arange(symbols + 1))
-        self.runs = runs
+        self.of = self.head[order] * (self.runs + 1) + order
+        full = np.concatenate([[0], np.cumsum(length[order])])  # symbols up to each of these runs
+        first = np.searchsorted(self.head[order], np.arange(symbols + 1))
+        before = full[:-1] - full[first[self.head[order]]]  # of the same symbol, at the runs' beginnings
+        self.within = np.empty(self.runs, np.int64)  # what to add to a place in a run of the symbol sought
+        self.within[order] = before - run[order]
+        self.full, self.base = full, full[first]
 
     def rank(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
-        at = self.at[place].astype(np.int64)
-        before = np.searchsorted(self.of, symbol * (self.runs + 1) + at)
-        inside = np.where(self.head[at] == symbol, place - self.run[at], 0)
-        return self.full[before] - self.full[self.first[symbol]] + inside
+        word = place >> 6
+        mask = np.uint64(0xFFFFFFFFFFFFFFFF) >> (63 - (place & 63)).astype(np.uint64)  # up to the place itself
+        at = self.counts[word] + np.bitwise_count(self.words[word] & mask) - 1
+        out = place + self.within[at]
+        other = np.flatnonzero(self.head[at] != symbol)
+        if len(other):
+            sought = symbol[other]
+            out[other] = self.full[np.searchsorted(self.of, sought * (self.runs + 1) + at[other])] - self.base[sought]
+        return out
 
 
 def earlier_matches(kind: type[_Index], text: np.ndarray, symbols: int, keys: np.ndarray, end_keys: np.ndarray, start: np.ndarray, length: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents
-from .long_repeats import WORDS, covered, find_repeats
+from .long_repeats import WORDS, find_repeats, left_over, united
 
 _words = re.compile(r"[^\x20\x09-\x0D]+").findall
 
@@ -27,9 +27,9 @@ _words = re.compile(r"[^\x20\x09-\x0D]+").findall
 def finish(text: str, start: np.ndarray, end: np.ndarray) -> tuple:
     words = _words(text)
     if len(start):
-        gone = covered(len(words), np.minimum(start, len(words)), np.minimum(end, len(words)))
-        kept = " ".join(w for w, g in zip(words, gone.tolist()) if not g)
-        return len(words), int(gone.sum()), hashlib.sha256(kept.encode()).hexdigest()
+        starts, ends = united(len(words), start, end)
+        kept = " ".join(w for a, b in left_over(len(words), starts, ends) for w in words[a:b])
+        return len(words), sum(ends) - sum(starts), hashlib.sha256(kept.encode()).hexdigest()
     return len(words), 0, hashlib.sha256(" ".join(words).encode()).hexdigest()
 
 
