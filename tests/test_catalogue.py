@@ -36,3 +36,14 @@ def test_query_equals_its_sql(spark, oracle, sf_dir, name):
     want = oracle.sql(catalogue.SQL[name])
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got.columns, [tuple(r) for r in got.collect()]) == rows(want.columns, want.fetchall())
+
+
+def test_worklist_split_with_odd_ids(spark, tmp_path):
+    """Rows without an id come last, as in the SQL; ids repeat and lie at both ends of their type."""
+    ids = [None] * 7 + [4] * 9 + [-(2**63), 2**63 - 1, -5] + list(range(30))
+    spark.createDataFrame([(i,) for i in ids], "doc_id long").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    for name in ("q05_worklist_split", "q06_split_counts"):
+        got, want = catalogue.QUERIES[name](spark, str(tmp_path)), con.sql(catalogue.SQL[name])
+        assert rows(got.columns, [tuple(r) for r in got.collect()]) == rows(want.columns, want.fetchall())

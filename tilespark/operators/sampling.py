@@ -33,28 +33,31 @@ def random_tiles(candidates: DataFrame, n: int, size: int, *keys: str) -> DataFr
     return marked.withColumn("_first", first).filter("_first = 1").withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_drawn", "_region", "_first", "_rank")
 
 
-def split(rows: DataFrame, parts: int, order: str) -> DataFrame:
+def split(rows: DataFrame, parts: int, order: str, nulls_last: bool = False) -> DataFrame:
     """Adds bucket, 1..parts: contiguous in the order, sizes apart by one at most, larger ones first.
 
     Ranks are exact without gathering all rows in one task: rows are counted by ranges of the order, cut at its
-    quantiles, and each range ranks its own rows from its offset.
+    quantiles, and each range ranks its own rows from its offset. Rows without a value come first, or last.
     """
     if rows.schema[order].dataType.typeName() not in ("long", "integer", "short", "byte"):
         raise TypeError(f"split orders by an integer column; {order} isn't one")
-    cuts = RANGES * RANGES - 1
-    known = rows.agg(F.percentile_approx(order, [(i + 1) / (cuts + 1) for i in range(cuts)], 20 * cuts).alias("_cuts"), F.count("*").alias("_total"))  # one row
-    value, every = F.col(order), F.coalesce("_cuts", F.array().cast(f"array<{rows.schema[order].dataType.simpleString()}>"))
+    n = RANGES * RANGES
+    # Counting and ranking scan the rows apart and have to cut them alike, but a sketch depends on the order in which its
+    # parts arrive. So the cuts are made once, here: one row, n - 1 numbers.
+    cuts, total = rows.agg(F.percentile_approx(order, [(i + 1) / n for i in range(n - 1)], 20 * (n - 1)), F.count("*")).first()
+    cuts, value = sorted(cuts or []), F.col(order)
+    literal = lambda some: F.array(*map(F.lit, some)).cast("array<long>")
     below = lambda some: F.size(F.filter(some, lambda cut: cut < value))
-    coarse = below(F.filter(every, lambda _, i: (i + 1) % RANGES == 0))
-    joined = rows.join(F.broadcast(known)).withColumn("_coarse", F.coalesce(coarse, F.lit(0)) * RANGES)
-    ranged = joined.withColumn("_range", F.col("_coarse") + F.coalesce(below(F.slice(every, F.col("_coarse") + 1, RANGES - 1)), F.lit(0))).drop("_cuts", "_coarse")
-    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))  # RANGES * RANGES rows at most
+    fine = F.array(*(literal(cuts[i : i + RANGES - 1]) for i in range(0, n, RANGES)))
+    ranged = rows.withColumn("_coarse", below(literal(cuts[RANGES - 1 :: RANGES])))
+    ranged = ranged.withColumn("_range", F.when(value.isNull(), n if nulls_last else -1).otherwise(F.col("_coarse") * RANGES + below(F.element_at(fine, F.col("_coarse") + 1)))).drop("_coarse")
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))  # n + 1 rows at most
     offset = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     place = F.row_number().over(Window.partitionBy("_range").orderBy(order)) + F.col("_offset") - 1
-    base, extra = F.floor(F.col("_total") / parts), F.col("_total") % parts
+    base, extra = divmod(total, parts)
     large = extra * (base + 1)
-    bucket = F.when(place < large, F.floor(place / (base + 1))).otherwise(extra + F.floor((place - large) / F.greatest(base, F.lit(1))))
-    return ranged.join(F.broadcast(offset), "_range").withColumn("bucket", (bucket + 1).cast("int")).drop("_range", "_offset", "_total")
+    bucket = F.when(place < large, F.floor(place / (base + 1))).otherwise(extra + F.floor((place - large) / max(base, 1)))
+    return ranged.join(F.broadcast(offset), "_range").withColumn("bucket", (bucket + 1).cast("int")).drop("_range", "_offset")
 
 
 def split_counts(rows: DataFrame, parts: int, bucket: str = "bucket") -> DataFrame:

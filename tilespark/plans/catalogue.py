@@ -56,7 +56,7 @@ def q04_probe_probabilities_long(spark, sf_dir):
 
 @query("SELECT doc_id, ntile(10) OVER (ORDER BY doc_id)::INT AS bucket FROM documents")
 def q05_worklist_split(spark, sf_dir):
-    return sampling.split(table(spark, sf_dir, "documents").select("doc_id"), 10, "doc_id").select("doc_id", "bucket")
+    return sampling.split(table(spark, sf_dir, "documents").select("doc_id"), 10, "doc_id", nulls_last=True).select("doc_id", "bucket")
 
 
 @query("WITH b AS (SELECT ntile(10) OVER (ORDER BY doc_id)::INT AS bucket FROM documents) SELECT g::INT AS bucket, count(b.bucket) AS n FROM range(1, 13) r(g) LEFT JOIN b ON b.bucket = g GROUP BY 1")
