@@ -172,6 +172,12 @@ def test_split_whatever_the_cuts(spark, other_cuts_each_time):
     assert [r.bucket for r in out] == [b + 1 for b in range(10) for _ in range(2003 // 10 + (b < 3))]
 
 
+def test_split_counts_whatever_the_cuts(spark, other_cuts_each_time):
+    rows = spark.range(0, 6007, 3, 5).withColumn("id", F.when(F.col("id") % 9 > 0, F.col("id")))
+    out = sampling.split_counts(sampling.split(rows, 10, "id", nulls_last=True), 12).orderBy("bucket").collect()
+    assert [tuple(r) for r in out] == [(b + 1, 2003 // 10 + (b < 3) if b < 10 else 0) for b in range(12)]
+
+
 def test_match_priorities(spark):
     slides = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), ("e",)], "stem string")
     files = spark.createDataFrame([("a",), ("a_coords",), ("b_features",), ("b_patches",), ("c_z",), ("c_y",), ("dd",)], "file_stem string")
